@@ -10,12 +10,12 @@ from wordloom.operators.documents import (
     term_frequency_dense,
 )
 from wordloom.operators.frequency import top_terms, top_words, word_count
-from wordloom.operators.scoring import tfidf
+from wordloom.operators.scoring import scored_terms, tfidf
 from wordloom.operators.selection import keep_vocabulary, remove_stop_words
 
 __all__ = [
     "cooccurrence_pairs", "cooccurrence_stripes", "document_frequency", "keep_vocabulary",
-    "keyed_term_frequency", "keyed_term_maps", "remove_stop_words", "stem_vocabulary",
+    "keyed_term_frequency", "keyed_term_maps", "remove_stop_words", "scored_terms", "stem_vocabulary",
     "term_frequency", "term_frequency_dense", "tfidf", "top_terms", "top_words",
     "word_count",
 ]

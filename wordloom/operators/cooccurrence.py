@@ -41,7 +41,7 @@ def _following(lines: DataFrame, distance: int, mode: str) -> DataFrame:
 def cooccurrence_pairs(
     lines: DataFrame, vocabulary: DataFrame, distance: int, mode: str = "within"
 ) -> DataFrame:
-    """``word, coword, cnt`` for both words in the vocabulary (column ``word``).
+    """``word, coword, cnt`` for both words in the vocabulary.
 
     ``exact`` pairs the words whose positions differ by the distance; at distance 0 every
     word is paired with itself twice. ``within`` pairs all positions that differ by 1 up

@@ -66,18 +66,19 @@ def document_frequency(
 def term_frequency(
     corpus: DataFrame, vocabulary: DataFrame, stop_words: Words = None
 ) -> DataFrame:
-    """``doc_id, term, tf``: occurrences of the vocabulary terms (column ``term``).
+    """``doc_id, term, tf``: occurrences of the vocabulary terms.
 
     Documents without such a term have no row. Rows of the same document are added up.
     """
     terms = _terms(corpus, stop_words, distinct=False)
-    kept = keep_vocabulary(terms, vocabulary, "term", "term")
+    kept = keep_vocabulary(terms, vocabulary, "term")
     return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _as_array(vocabulary: DataFrame) -> Column:
     """The terms as one constant array; a vocabulary too long for that is an error."""
-    terms = vocabulary.select("term").distinct().limit(MAX_ROW_VOCABULARY + 1)
+    term = F.col(vocabulary.columns[0]).alias("term")
+    terms = vocabulary.select(term).distinct().limit(MAX_ROW_VOCABULARY + 1)
     listed = terms.agg(F.array_sort(F.collect_list("term")).alias("terms"))
     checked = F.when(F.size("terms") <= MAX_ROW_VOCABULARY, F.col("terms")).otherwise(
         F.raise_error(F.lit(f"more than {MAX_ROW_VOCABULARY} terms to list for every document"))
@@ -102,7 +103,7 @@ def term_frequency_dense(
         F.size("zeros").alias("n_zeros"),
         F.posexplode(F.concat("zeros", "terms")).alias("pos", "term"),
     )
-    kept = keep_vocabulary(listed, vocabulary, "term", "term")
+    kept = keep_vocabulary(listed, vocabulary, "term")
     one = (F.col("pos") >= F.col("n_zeros")).cast("bigint")
     return kept.groupBy("doc_id", "term").agg(F.sum(one).alias("tf"))
 
@@ -110,7 +111,7 @@ def term_frequency_dense(
 def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``doc_id, term, tf`` of unstemmed tokens, for a vocabulary of any size."""
     tokens = keyed.select("doc_id", F.explode(alnum_tokens("text")).alias("term"))
-    kept = keep_vocabulary(tokens, vocabulary, "term", "term")
+    kept = keep_vocabulary(tokens, vocabulary, "term")
     return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

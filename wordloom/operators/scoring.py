@@ -19,3 +19,12 @@ def tfidf(
     df = F.coalesce(F.col("df"), F.lit(1))
     weight = F.log10(F.lit(float(total_documents)) / (df + 1))
     return looked_up.select("doc_id", "term", (F.col("tf") * weight).alias("tfidf"))
+
+
+def scored_terms(vocabulary: DataFrame, document_counts: DataFrame) -> DataFrame:
+    """``term``: the terms of a vocabulary and of a table of counts, each once.
+
+    They differ when the vocabulary was normalised and the counts were read as they are.
+    """
+    term = F.col(vocabulary.columns[0]).alias("term")
+    return vocabulary.select(term).union(document_counts.select("term")).distinct()

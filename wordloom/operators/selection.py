@@ -24,8 +24,7 @@ def remove_stop_words(rows: DataFrame, words: Words, column: str = "word") -> Da
     return rows.filter(~F.col(column).isin(list(words))) if words else rows
 
 
-def keep_vocabulary(
-    rows: DataFrame, vocabulary: DataFrame, column: str = "word", key: str = "word"
-) -> DataFrame:
-    """The rows whose word is in the ``key`` column of the vocabulary."""
+def keep_vocabulary(rows: DataFrame, vocabulary: DataFrame, column: str = "word") -> DataFrame:
+    """The rows whose word is in the vocabulary, that is in its first column."""
+    key = vocabulary.columns[0]
     return rows.join(vocabulary.select(key), rows[column] == vocabulary[key], "left_semi")
