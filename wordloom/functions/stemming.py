@@ -39,6 +39,21 @@ STEP_4 = (
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+LETTER_KINDS = str.maketrans(
+    "abcdefghijklmnopqrstuvwxyz", "vcccvcccvcccccvcccccvcccyc"
+)
+
+
+def _by_last_letters(suffixes) -> dict[str, list[str]]:
+    """The suffixes by their last two letters, the longest first."""
+    groups: dict[str, list[str]] = {}
+    for suffix in sorted(suffixes, key=len, reverse=True):
+        groups.setdefault(suffix[-2:], []).append(suffix)
+    return groups
+
+
+ENDINGS_2, ENDINGS_3, ENDINGS_4 = map(_by_last_letters, (STEP_2, STEP_3, STEP_4))
+
 
 def _shape(word: str) -> str:
     """The word with every vowel as ``v`` and every consonant as ``c``.
@@ -46,47 +61,40 @@ def _shape(word: str) -> str:
     A ``y`` is a vowel exactly after a consonant. The shape of a prefix is a prefix of
     the shape, and the measure m of the paper is the number of ``vc`` in it.
     """
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
+    shape = word.translate(LETTER_KINDS)
+    while "y" in shape:
+        at = shape.index("y")
+        kind = "v" if shape[at - 1 : at] == "c" else "c"
+        shape = shape[:at] + kind + shape[at + 1 :]
     return shape
 
 
-def _measure(shape: str) -> int:
-    return shape.count("vc")
-
-
 def _ends_short(word: str, shape: str) -> bool:
     """Consonant, vowel, consonant at the end, the last one not w, x or y."""
     return shape.endswith("cvc") and word[-1] not in "wxy"
 
 
-def _doubled(word: str, shape: str) -> bool:
-    return len(word) > 1 and word[-1] == word[-2] and shape[-1] == "c"
-
-
-def _longest_suffix(word: str, suffixes) -> str | None:
-    for size in range(min(7, len(word)), 1, -1):
-        if word[-size:] in suffixes:
-            return word[-size:]
+def _longest_suffix(word: str, endings: dict[str, list[str]]) -> str | None:
+    for suffix in endings.get(word[-2:], ()):
+        if word.endswith(suffix):
+            return suffix
     return None
 
 
-def _participle(word: str) -> str:
+def _without_participle(word: str, shape: str) -> str:
     """Step 1b: ``eed``, ``ed`` and ``ing``, and the repair of what they leave."""
-    shape = _shape(word)
     if word.endswith("eed"):
-        return word[:-1] if _measure(shape[:-3]) > 0 else word
-    size = 2 if word.endswith("ed") else 3 if word.endswith("ing") else 0
-    if not size or "v" not in shape[:-size]:
+        return word[:-1] if "vc" in shape[:-3] else word
+    size = 2 if word.endswith("ed") else 3
+    shape = shape[:-size]
+    if "v" not in shape:
         return word
-    word, shape = word[:-size], shape[:-size]
+    word = word[:-size]
     if word.endswith(("at", "bl", "iz")):
         return word + "e"
-    if _doubled(word, shape):
+    if shape[-1] == "c" and word[-1] == word[-2:-1]:
         return word if word[-1] in "lsz" else word[:-1]
-    if _measure(shape) == 1 and _ends_short(word, shape):
+    if shape.count("vc") == 1 and _ends_short(word, shape):
         return word + "e"
     return word
 
@@ -95,37 +103,55 @@ def porter_stem(word: str) -> str:
     """The stem of one lowercase word; words of one or two letters stay."""
     if len(word) < 3:
         return word
-    if word.endswith(("sses", "ies")):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
-    word = _participle(word)
-    if word.endswith("y") and "v" in _shape(word[:-1]):
-        word = word[:-1] + "i"
-    for rules in (STEP_2, STEP_3):
-        suffix = _longest_suffix(word, rules)
-        if suffix and _measure(_shape(word[: -len(suffix)])) > 0:
+    if word.endswith("s"):
+        if word.endswith(("sses", "ies")):
+            word = word[:-2]
+        elif not word.endswith("ss"):
+            word = word[:-1]
+    shape = _shape(word)
+    if word.endswith(("ed", "ing")):
+        word = _without_participle(word, shape)
+        shape = _shape(word)
+    if word.endswith("y") and "v" in shape[:-1]:
+        word, shape = word[:-1] + "i", shape[:-1] + "v"
+    for rules, endings in ((STEP_2, ENDINGS_2), (STEP_3, ENDINGS_3)):
+        suffix = _longest_suffix(word, endings)
+        if suffix and "vc" in shape[: -len(suffix)]:
             word = word[: -len(suffix)] + rules[suffix]
-    suffix = _longest_suffix(word, STEP_4)
-    if suffix:
+            shape = _shape(word)
+    suffix = _longest_suffix(word, ENDINGS_4)
+    if suffix and shape[: -len(suffix)].count("vc") > 1:
         stem = word[: -len(suffix)]
-        allowed = suffix != "ion" or stem.endswith(("s", "t"))
-        if allowed and _measure(_shape(stem)) > 1:
-            word = stem
+        if suffix != "ion" or stem.endswith(("s", "t")):
+            word, shape = stem, shape[: -len(suffix)]
     if word.endswith("e"):
-        stem, shape = word[:-1], _shape(word[:-1])
-        measure = _measure(shape)
-        if measure > 1 or (measure == 1 and not _ends_short(stem, shape)):
-            word = stem
-    if word.endswith("ll") and _measure(_shape(word)) > 1:
+        stem, stem_shape = word[:-1], shape[:-1]
+        measure = stem_shape.count("vc")
+        if measure > 1 or (measure == 1 and not _ends_short(stem, stem_shape)):
+            word, shape = stem, stem_shape
+    if word.endswith("ll") and shape.count("vc") > 1:
         word = word[:-1]
     return word
 
 
+#: Stems of the tokens that the running task has seen.
+_seen: dict[str, str] = {}
+MAX_SEEN = 1_000_000
+
+
+def _remembered_stem(token: str) -> str:
+    stem = _seen.get(token)
+    if stem is None:
+        if len(_seen) >= MAX_SEEN:
+            _seen.clear()
+        stem = _seen[token] = porter_stem(token)
+    return stem
+
+
 def _stem_strings(tokens: pa.Array) -> pa.Array:
     encoded = tokens.dictionary_encode()
     stems = pa.array(
-        [porter_stem(token) for token in encoded.dictionary.to_pylist()], pa.string()
+        [_remembered_stem(token) for token in encoded.dictionary.to_pylist()], pa.string()
     )
     return stems.take(encoded.indices)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,31 +22,31 @@ def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     return distinct.select("token", stem_token("token").alias("term"))
 
 
-def _row_terms(corpus: DataFrame, stop_words: Words, distinct: bool) -> DataFrame:
-    """``doc_id, terms``: the stems of each row, with or without repeats.
+def _row_terms(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """``doc_id, terms``: the stems of the tokens of each row.
 
     Stemming row by row needs no shuffle, where a join with a stemmed vocabulary would
     move every token of the corpus.
     """
-    tokens = letter_tokens("text")
-    kept = distinct_without(tokens, stop_words or ()) if distinct else without(tokens, stop_words or ())
-    terms = corpus.select("doc_id", stem_tokens(kept).alias("terms"))
-    return terms.withColumn("terms", F.array_distinct("terms")) if distinct else terms
+    tokens = without(letter_tokens("text"), stop_words)
+    return corpus.select("doc_id", stem_tokens(tokens).alias("terms"))
 
 
-def _terms(corpus: DataFrame, stop_words: Words, distinct: bool) -> DataFrame:
-    """``doc_id, term``, exploded; repeats within a row are removed if ``distinct``."""
-    if isinstance(stop_words, DataFrame):
-        tokens = letter_tokens("text")
-        tokens = corpus.select(
-            "doc_id", F.explode(F.array_distinct(tokens) if distinct else tokens).alias("token")
-        )
-        kept = remove_stop_words(tokens, stop_words, "token")
-        terms = kept.select("doc_id", stem_token("token").alias("term"))
-    else:
-        rows = _row_terms(corpus, stop_words, distinct)
-        terms = rows.select("doc_id", F.explode("terms").alias("term"))
-    return terms.filter(F.length("term") > 0)
+def _row_distinct_terms(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    """``doc_id, term``: the distinct stems of each row."""
+    tokens = distinct_without(letter_tokens("text"), stop_words)
+    stems = corpus.select("doc_id", stem_tokens(tokens).alias("stems"))
+    return stems.select("doc_id", F.explode(F.array_distinct("stems")).alias("term"))
+
+
+def _joined_terms(corpus: DataFrame, stop_words: DataFrame, distinct: bool) -> DataFrame:
+    """``doc_id, term``: the stems of the tokens that a table of stop words leaves."""
+    tokens = letter_tokens("text")
+    if distinct:
+        tokens = F.array_distinct(tokens)
+    rows = corpus.select("doc_id", F.explode(tokens).alias("token"))
+    kept = remove_stop_words(rows, stop_words, "token")
+    return kept.select("doc_id", stem_token("token").alias("term"))
 
 
 def document_frequency(
@@ -57,9 +59,13 @@ def document_frequency(
     short sequence, the terms of a row are distinct already: then only partial counts
     per term are shuffled.
     """
-    terms = _terms(corpus, stop_words, distinct=True)
-    if not one_row_per_document or isinstance(stop_words, DataFrame):
-        terms = terms.distinct()
+    if isinstance(stop_words, DataFrame):
+        terms = _joined_terms(corpus, stop_words, distinct=True).distinct()
+    else:
+        terms = _row_distinct_terms(corpus, stop_words or ())
+        if not one_row_per_document:
+            terms = terms.distinct()
+    terms = terms.filter(F.length("term") > 0)
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
@@ -70,7 +76,11 @@ def term_frequency(
 
     Documents without such a term have no row. Rows of the same document are added up.
     """
-    terms = _terms(corpus, stop_words, distinct=False)
+    if isinstance(stop_words, DataFrame):
+        terms = _joined_terms(corpus, stop_words, distinct=False)
+    else:
+        rows = _row_terms(corpus, stop_words or ())
+        terms = rows.select("doc_id", F.explode("terms").alias("term"))
     kept = keep_vocabulary(terms, vocabulary, "term")
     return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
@@ -87,17 +97,16 @@ def _as_array(vocabulary: DataFrame) -> Column:
 
 
 def term_frequency_dense(
-    corpus: DataFrame, vocabulary: DataFrame, stop_words: Words = ()
+    corpus: DataFrame, vocabulary: DataFrame, stop_words: Sequence[str] = ()
 ) -> DataFrame:
     """``doc_id, term, tf`` for every document and every vocabulary term, zeros included.
 
     Each row of the corpus lists the vocabulary once, as zeros, before its own terms, so
     a single aggregation, started on the map side, does the counting and the filling:
-    no join of documents and vocabulary, and no second look at the corpus.
+    no join of documents and vocabulary, and no second look at the corpus. The stop list
+    is a short sequence here; ``small_word_list`` reads one.
     """
-    if isinstance(stop_words, DataFrame):
-        raise TypeError("the dense table takes a short stop list, see small_word_list()")
-    rows = _row_terms(corpus, stop_words, distinct=False).withColumn("zeros", _as_array(vocabulary))
+    rows = _row_terms(corpus, stop_words).withColumn("zeros", _as_array(vocabulary))
     listed = rows.select(
         "doc_id",
         F.size("zeros").alias("n_zeros"),

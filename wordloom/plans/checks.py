@@ -21,10 +21,10 @@ _TOKENS = {
 
 # The grammar of consonants and vowels in Porter's paper.
 _C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
-_M_ABOVE_0 = f"^({_C})?{_V}{_C}"
-_M_IS_1 = f"^({_C})?{_V}{_C}({_V})?$"
-_M_ABOVE_1 = f"^({_C})?{_V}{_C}{_V}{_C}"
-_HAS_VOWEL = f"^({_C})?[aeiouy]"
+_HAS_VOWEL = f"^({_C}[aeiouy]|[aeiou])"  # a leading y is a consonant
+_M_ABOVE_0 = f"{_HAS_VOWEL}[aeiou]*{_C}"
+_M_IS_1 = f"{_M_ABOVE_0}({_V})?$"
+_M_ABOVE_1 = f"{_M_ABOVE_0}{_V}{_C}"
 _SHORT_END = f"^{_C}[aeiouy][^aeiouwxy]$"
 
 
