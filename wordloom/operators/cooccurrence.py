@@ -30,7 +30,7 @@ def _following(lines: DataFrame, distance: int, mode: str) -> DataFrame:
     # the split for every line.
     words = tokens.select(
         "tokens", F.posexplode(F.slice("tokens", 1, WHOLE_ARRAY)).alias("pos", "word")
-    ).filter("word <> ''")
+    )
     if mode == "exact":
         coword = F.get("tokens", F.col("pos") + distance)
         return words.select("word", coword.alias("coword")).filter("coword is not null")
@@ -53,6 +53,8 @@ def cooccurrence_pairs(
         raise ValueError("the distance must not be negative")
     following = _following(lines, max(distance, 0), mode)
     forward = following.groupBy("word", "coword").agg(F.count(F.lit(1)).alias("cnt"))
+    key = vocabulary.columns[0]
+    vocabulary = vocabulary.select(key).filter(F.col(key) != "")
     forward = keep_vocabulary(forward, vocabulary, "word")
     forward = keep_vocabulary(forward, vocabulary, "coword")
     directions = F.array(

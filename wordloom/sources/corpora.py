@@ -19,8 +19,10 @@ def documents_from_files(spark: SparkSession, path: str | list[str]) -> DataFram
     Files of the same base name in different folders are one document. Large files are
     split among tasks, so a row is a line and not a file.
     """
+    # File names arrive percent-encoded, except for the plus sign.
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return spark.read.text(path).select(
-        document_id("_metadata.file_name").alias("doc_id"), F.col("value").alias("text")
+        document_id(F.url_decode(encoded)).alias("doc_id"), F.col("value").alias("text")
     )
 
 
