@@ -20,7 +20,8 @@ HEADLINE = (
     "top50_words", "word_counts", "cooc_pairs_exact_d4", "cooc_pairs_within_d1",
     "cooc_pairs_within_d4", "cooc_stripes_d4", "cooc_pairs_all_words_d1",
     "stemmed_vocabulary", "document_frequency", "document_frequency_by_line",
-    "top100_terms", "term_frequency", "term_frequency_dense", "tfidf",
+    "top100_terms", "term_frequency", "term_frequency_dense", "term_frequency_dense_by_line",
+    "tfidf",
     "keyed_term_frequency", "keyed_term_maps",
 )
 

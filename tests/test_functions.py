@@ -100,10 +100,13 @@ def test_porter_stem(word, stem):
 
 def test_stem_columns(spark):
     rows = spark.createDataFrame(
-        [(["cats", "running", "cats"],), ([],), (None,), (["ponies"],)], "tokens array<string>"
+        [(["cats", "running", "cat"],), ([],), (None,), (["ponies"],)], "tokens array<string>"
     )
-    stems = [r[0] for r in rows.coalesce(1).select(W.stem_tokens("tokens")).collect()]
-    assert stems == [["cat", "run", "cat"], [], [], ["poni"]]
+    counts = rows.coalesce(1).select(W.stem_counts("tokens").alias("found"))
+    found = [sorted((e.term, e.tf) for e in row.found) for row in counts.collect()]
+    assert found == [[("cat", 2), ("run", 1)], [], [], [("poni", 1)]]
+    empty = rows.filter("size(tokens) = 0").select(W.stem_counts("tokens").alias("found"))
+    assert [row.found for row in empty.collect()] == [[]]
     single = rows.select(F.explode("tokens").alias("token")).select(W.stem_token("token"))
     assert sorted(r[0] for r in single.collect()) == ["cat", "cat", "poni", "run"]
 

@@ -150,6 +150,14 @@ def test_term_frequency_dense_has_every_pair(corpus, words):
     ]
 
 
+def test_counting_within_rows_equals_counting_by_shuffle(corpus, words):
+    frame = corpus(("1", "cats cat, dogs"), ("2", "the"), ("3", "dog dog dog Dog's"), ("4", ""))
+    for operator in (O.term_frequency, O.term_frequency_dense):
+        shuffled = values(operator(frame, words("cat", "dog", "bird"), ["the"]))
+        assert values(operator(frame, words("cat", "dog", "bird"), ["the"], True)) == shuffled
+        assert shuffled
+
+
 def test_a_vocabulary_too_long_for_the_dense_table_is_an_error(spark, corpus, monkeypatch):
     from wordloom.operators import documents
 

@@ -92,6 +92,12 @@ def test_stemming_the_vocabulary_runs_after_the_distinct(spark, sample):
 
 
 def test_the_dense_table_counts_and_fills_in_one_shuffle(spark, sample):
-    plan = plan_of(registered()["term_frequency_dense"](spark, sample))
+    plan = plan_of(registered()["term_frequency_dense_by_line"](spark, sample))
     assert len(re.findall(r"Exchange hashpartitioning\(doc_id", plan)) == 1
     assert "SortMergeJoin" not in plan
+
+
+def test_scoring_whole_documents_shuffles_none_of_them(spark, sample):
+    plan = plan_of(registered()["tfidf"](spark, sample))
+    assert "Exchange hashpartitioning(doc_id" not in plan
+    assert "SortMergeJoin" not in plan

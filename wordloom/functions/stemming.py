@@ -2,7 +2,7 @@
 
 Spark has no stemmer, so this is the one place where Python runs in a task. Tokens
 travel as Arrow arrays and every batch is dictionary encoded first: each distinct token
-of a batch is stemmed once, all occurrences are then filled in by Arrow itself.
+of a task is stemmed once, and the occurrences are filled in or counted as whole arrays.
 
 The functions are marked non-deterministic although they are not. Without the mark the
 optimizer copies the call into filters and moves those below earlier steps, which runs
@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -150,31 +150,41 @@ def _remembered_stem(token: str) -> str:
 
 def _stem_strings(tokens: pa.Array) -> pa.Array:
     encoded = tokens.dictionary_encode()
-    stems = pa.array(
-        [_remembered_stem(token) for token in encoded.dictionary.to_pylist()], pa.string()
+    stems = [_remembered_stem(token) for token in encoded.dictionary.to_pylist()]
+    return pa.array(stems, pa.string()).take(encoded.indices)
+
+
+def _count_stems(lists: pa.Array) -> pa.Array:
+    encoded = lists.flatten().dictionary_encode()
+    stems = [_remembered_stem(token) for token in encoded.dictionary.to_pylist()]
+    stems = pa.array(stems, pa.string()).dictionary_encode()
+    # one number per occurrence, for its row and its stem
+    codes = stems.indices.to_numpy()[encoded.indices.to_numpy()]
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+    size = max(len(stems.dictionary), 1)
+    numbers, counts = np.unique(rows * size + codes, return_counts=True)
+    rows, codes = np.divmod(numbers, size)
+    entries = pa.StructArray.from_arrays(
+        [stems.dictionary.take(pa.array(codes)), pa.array(counts, pa.int64())], ["term", "tf"]
     )
-    return stems.take(encoded.indices)
-
-
-def _stem_lists(lists: pa.Array) -> pa.Array:
-    lengths = lists.value_lengths().fill_null(0)
-    offsets = pa.concat_arrays(
-        [pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())]
-    )
-    return pa.ListArray.from_arrays(offsets, _stem_strings(lists.flatten()))
+    offsets = np.searchsorted(rows, np.arange(len(lists) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
 
 
 @F.arrow_udf(T.StringType())
-def _stem_one(tokens: pa.Array) -> pa.Array:
+def _stem(tokens: pa.Array) -> pa.Array:
     return _stem_strings(tokens)
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def _stem_all(lists: pa.Array) -> pa.Array:
-    return _stem_lists(lists)
+@F.arrow_udf(
+    T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.LongType()))
+)
+def _counts(lists: pa.Array) -> pa.Array:
+    return _count_stems(lists)
 
 
 #: Stem of a token column.
-stem_token = _stem_one.asNondeterministic()
-#: Stems of an array-of-tokens column, position by position.
-stem_tokens = _stem_all.asNondeterministic()
+stem_token = _stem.asNondeterministic()
+#: From an array of tokens to an array of its distinct stems (``term``) with their
+#: counts (``tf``).
+stem_counts = _counts.asNondeterministic()

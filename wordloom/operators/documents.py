@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.stemming import stem_token, stem_tokens
+from wordloom.functions.stemming import stem_counts, stem_token
 from wordloom.functions.tokens import alnum_tokens, distinct_without, letter_tokens, without
 from wordloom.operators.selection import Words, keep_vocabulary, remove_stop_words
 
@@ -22,21 +22,13 @@ def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     return distinct.select("token", stem_token("token").alias("term"))
 
 
-def _row_terms(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    """``doc_id, terms``: the stems of the tokens of each row.
+def _row_counts(corpus: DataFrame, tokens: Column) -> DataFrame:
+    """``doc_id, found``: the distinct stems of each row with their counts in it.
 
     Stemming row by row needs no shuffle, where a join with a stemmed vocabulary would
     move every token of the corpus.
     """
-    tokens = without(letter_tokens("text"), stop_words)
-    return corpus.select("doc_id", stem_tokens(tokens).alias("terms"))
-
-
-def _row_distinct_terms(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
-    """``doc_id, term``: the distinct stems of each row."""
-    tokens = distinct_without(letter_tokens("text"), stop_words)
-    stems = corpus.select("doc_id", stem_tokens(tokens).alias("stems"))
-    return stems.select("doc_id", F.explode(F.array_distinct("stems")).alias("term"))
+    return corpus.select("doc_id", stem_counts(tokens).alias("found"))
 
 
 def _joined_terms(corpus: DataFrame, stop_words: DataFrame, distinct: bool) -> DataFrame:
@@ -62,7 +54,8 @@ def document_frequency(
     if isinstance(stop_words, DataFrame):
         terms = _joined_terms(corpus, stop_words, distinct=True).distinct()
     else:
-        terms = _row_distinct_terms(corpus, stop_words or ())
+        tokens = distinct_without(letter_tokens("text"), stop_words or ())
+        terms = _row_counts(corpus, tokens).select("doc_id", F.inline("found")).drop("tf")
         if not one_row_per_document:
             terms = terms.distinct()
     terms = terms.filter(F.length("term") > 0)
@@ -70,51 +63,54 @@ def document_frequency(
 
 
 def term_frequency(
-    corpus: DataFrame, vocabulary: DataFrame, stop_words: Words = None
+    corpus: DataFrame,
+    vocabulary: DataFrame,
+    stop_words: Words = None,
+    one_row_per_document: bool = False,
 ) -> DataFrame:
     """``doc_id, term, tf``: occurrences of the vocabulary terms.
 
-    Documents without such a term have no row. Rows of the same document are added up.
+    Documents without such a term have no row. In general the rows of a document are
+    added up by a shuffle of partial counts. If every row is a whole document and the
+    stop list a short sequence, the row is counted where it is.
     """
     if isinstance(stop_words, DataFrame):
         terms = _joined_terms(corpus, stop_words, distinct=False)
+        counts = terms.withColumn("tf", F.lit(1))
     else:
-        rows = _row_terms(corpus, stop_words or ())
-        terms = rows.select("doc_id", F.explode("terms").alias("term"))
-    kept = keep_vocabulary(terms, vocabulary, "term")
-    return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def _as_array(vocabulary: DataFrame) -> Column:
-    """The terms as one constant array; a vocabulary too long for that is an error."""
-    term = F.col(vocabulary.columns[0]).alias("term")
-    terms = vocabulary.select(term).distinct().limit(MAX_ROW_VOCABULARY + 1)
-    listed = terms.agg(F.array_sort(F.collect_list("term")).alias("terms"))
-    checked = F.when(F.size("terms") <= MAX_ROW_VOCABULARY, F.col("terms")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_ROW_VOCABULARY} terms to list for every document"))
-    )
-    return listed.select(checked).scalar()
+        tokens = without(letter_tokens("text"), stop_words or ())
+        counts = _row_counts(corpus, tokens).select("doc_id", F.inline("found"))
+    kept = keep_vocabulary(counts, vocabulary, "term")
+    if one_row_per_document and not isinstance(stop_words, DataFrame):
+        return kept
+    return kept.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
 def term_frequency_dense(
-    corpus: DataFrame, vocabulary: DataFrame, stop_words: Sequence[str] = ()
+    corpus: DataFrame,
+    vocabulary: DataFrame,
+    stop_words: Sequence[str] = (),
+    one_row_per_document: bool = False,
 ) -> DataFrame:
     """``doc_id, term, tf`` for every document and every vocabulary term, zeros included.
 
-    Each row of the corpus lists the vocabulary once, as zeros, before its own terms, so
-    a single aggregation, started on the map side, does the counting and the filling:
-    no join of documents and vocabulary, and no second look at the corpus. The stop list
-    is a short sequence here; ``small_word_list`` reads one.
+    The vocabulary travels with the rows as one constant array, so documents and terms
+    are never joined; it must be short, and so must the stop list (``small_word_list``
+    reads one). Each row adds a zero for every term it lacks. If every row is a whole
+    document that is the result, and nothing is shuffled. In general the rows of a
+    document are then added up by a shuffle of partial sums.
     """
-    rows = _row_terms(corpus, stop_words).withColumn("zeros", _as_array(vocabulary))
-    listed = rows.select(
-        "doc_id",
-        F.size("zeros").alias("n_zeros"),
-        F.posexplode(F.concat("zeros", "terms")).alias("pos", "term"),
+    tokens = without(letter_tokens("text"), stop_words)
+    rows = _row_counts(corpus, tokens).withColumn("vocabulary", _as_array(vocabulary))
+    missing = F.transform(
+        F.array_except("vocabulary", "found.term"),
+        lambda term: F.struct(term.alias("term"), F.lit(0).cast("bigint").alias("tf")),
     )
+    listed = rows.select("doc_id", F.inline(F.concat("found", missing)))
     kept = keep_vocabulary(listed, vocabulary, "term")
-    one = (F.col("pos") >= F.col("n_zeros")).cast("bigint")
-    return kept.groupBy("doc_id", "term").agg(F.sum(one).alias("tf"))
+    if one_row_per_document:
+        return kept
+    return kept.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
 def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -127,11 +123,38 @@ def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def keyed_term_maps(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``doc_id, tf``: one map of counts per keyed record, empty if nothing matches.
 
-    Everything happens within the row, nothing is shuffled. Each record is compared with
-    the whole vocabulary, which must be short; otherwise use ``keyed_term_frequency``.
+    Nothing is shuffled. The vocabulary must be short; ``keyed_term_frequency`` takes
+    one of any size.
     """
-    records = keyed.select("doc_id", alnum_tokens("text").alias("tokens"), _as_array(vocabulary).alias("terms"))
-    found = F.array_sort(F.array_intersect("tokens", "terms"))
-    count = lambda term: (F.size("tokens") - F.size(F.array_remove("tokens", term))).cast("bigint")
-    entries = F.transform(found, lambda term: F.struct(term.alias("term"), count(term).alias("tf")))
-    return records.select("doc_id", F.map_from_entries(entries).alias("tf"))
+    records = keyed.select(
+        "doc_id", alnum_tokens("text").alias("terms"), _as_array(vocabulary).alias("vocabulary")
+    )
+    counts = _counts_in_row("terms", "vocabulary")
+    return records.select("doc_id", F.map_from_entries(counts).alias("tf"))
+
+
+def _as_array(vocabulary: DataFrame) -> Column:
+    """The terms as one constant array; a vocabulary too long for that is an error."""
+    term = F.col(vocabulary.columns[0]).alias("term")
+    terms = vocabulary.select(term).distinct().limit(MAX_ROW_VOCABULARY + 1)
+    listed = terms.agg(F.array_sort(F.collect_list("term")).alias("terms"))
+    checked = F.when(F.size("terms") <= MAX_ROW_VOCABULARY, F.col("terms")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_ROW_VOCABULARY} terms to list for every row"))
+    )
+    return listed.select(checked).scalar()
+
+
+def _counts_in_row(terms: str, vocabulary: str) -> Column:
+    """Array of ``(term, tf)``: how often each vocabulary term occurs in an array.
+
+    The time is proportional to the length of the array times the number of different
+    vocabulary terms in it.
+    """
+    found = F.array_sort(F.array_intersect(terms, vocabulary))
+    return F.transform(
+        found,
+        lambda term: F.struct(
+            term.alias("term"),
+            (F.size(terms) - F.size(F.array_remove(terms, term))).cast("bigint").alias("tf"),
+        ),
+    )

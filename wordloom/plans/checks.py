@@ -185,14 +185,18 @@ hits as materialized (select * from tokens where term in (select word from vocab
             "from pairs group by word"
         )
     document_frequency = _terms() + "select term, df from frequencies"
+    sparse = _terms() + "select doc_id, term, tf from terms where term in (select term from top)"
+    dense = _terms() + "select doc_id, term, tf from dense"
     checks |= {
         "stemmed_vocabulary": _terms() + "select token, term from stems",
         "document_frequency": document_frequency,
         "document_frequency_by_line": document_frequency,
         "document_frequency_joined": _terms(_LANGUAGES) + "select term, df from frequencies",
         "top100_terms": _terms() + "select term, df from top",
-        "term_frequency": _terms() + "select doc_id, term, tf from terms where term in (select term from top)",
-        "term_frequency_dense": _terms() + "select doc_id, term, tf from dense",
+        "term_frequency": sparse,
+        "term_frequency_by_line": sparse,
+        "term_frequency_dense": dense,
+        "term_frequency_dense_by_line": dense,
         "tfidf": _terms()
         + "select doc_id, term, round(tf * log10(10000.0 / (df + 1)), 6) + 0.0 as tfidf from dense",
         "tfidf_lines": _terms()

@@ -17,6 +17,7 @@ from wordloom.functions import (
     alnum_tokens,
     document_id,
     letter_tokens,
+    lines_of,
     pair_text,
     score_text,
     stripe_text,
@@ -65,9 +66,7 @@ def word_counts_with_case(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_counts_joined(spark: SparkSession, folder: str) -> DataFrame:
-    """The stop list as a table: every language code of the corpus is a stop word."""
-    codes = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("lang").alias("value"))
-    return word_count(_documents(spark, folder), word_list(codes))
+    return word_count(_documents(spark, folder), _language_codes(spark, folder))
 
 
 def top50_words(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,22 +112,29 @@ def stemmed_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return stem_vocabulary(_documents(spark, folder), STOP_WORDS)
 
 
+def _by_line(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents as a line reader gives them: many rows with the same id."""
+    return _documents(spark, folder).select(
+        "doc_id", F.explode(lines_of("text")).alias("text")
+    )
+
+
+def _language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """A stop list kept in a table: the language codes of the corpus."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    return word_list(table.select(F.col("lang").alias("value")))
+
+
 def document_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     return document_frequency(_documents(spark, folder), STOP_WORDS, one_row_per_document=True)
 
 
 def document_frequencies_by_line(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents as a line reader gives them: many rows with the same id."""
-    lines = _documents(spark, folder).select(
-        "doc_id", F.explode(F.split("text", "\n")).alias("text")
-    )
-    return document_frequency(lines, STOP_WORDS)
+    return document_frequency(_by_line(spark, folder), STOP_WORDS)
 
 
 def document_frequencies_joined(spark: SparkSession, folder: str) -> DataFrame:
-    """The stop list as a table: every language code of the corpus is a stop word."""
-    codes = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("lang").alias("value"))
-    return document_frequency(_documents(spark, folder), word_list(codes))
+    return document_frequency(_documents(spark, folder), _language_codes(spark, folder))
 
 
 def top100_terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,17 +142,27 @@ def top100_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def term_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    return term_frequency(_documents(spark, folder), top100_terms(spark, folder), STOP_WORDS)
+    terms = top100_terms(spark, folder)
+    return term_frequency(_documents(spark, folder), terms, STOP_WORDS, one_row_per_document=True)
+
+
+def term_frequencies_by_line(spark: SparkSession, folder: str) -> DataFrame:
+    return term_frequency(_by_line(spark, folder), top100_terms(spark, folder), STOP_WORDS)
 
 
 def term_frequencies_dense(spark: SparkSession, folder: str) -> DataFrame:
-    return term_frequency_dense(_documents(spark, folder), top100_terms(spark, folder), STOP_WORDS)
+    terms = top100_terms(spark, folder)
+    return term_frequency_dense(
+        _documents(spark, folder), terms, STOP_WORDS, one_row_per_document=True
+    )
+
+
+def term_frequencies_dense_by_line(spark: SparkSession, folder: str) -> DataFrame:
+    return term_frequency_dense(_by_line(spark, folder), top100_terms(spark, folder), STOP_WORDS)
 
 
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    terms = top100_terms(spark, folder)
-    dense = term_frequency_dense(_documents(spark, folder), terms, STOP_WORDS)
-    return tfidf(dense, terms)
+    return tfidf(term_frequencies_dense(spark, folder), top100_terms(spark, folder))
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,10 +180,8 @@ def score_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _keyed(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id TAB line`` records for every line of every document, parsed again."""
-    lines = _documents(spark, folder).select(
-        "doc_id", F.explode(F.split("text", "\n")).alias("line")
-    )
-    records = lines.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "line").alias("value"))
+    lines = _by_line(spark, folder)
+    records = lines.select(F.concat_ws("\t", F.col("doc_id").cast("string"), "text").alias("value"))
     return keyed_documents(records)
 
 
@@ -253,7 +267,9 @@ def registered() -> dict[str, Query]:
         "document_frequency_joined": document_frequencies_joined,
         "top100_terms": top100_terms,
         "term_frequency": term_frequencies,
+        "term_frequency_by_line": term_frequencies_by_line,
         "term_frequency_dense": term_frequencies_dense,
+        "term_frequency_dense_by_line": term_frequencies_dense_by_line,
         "tfidf": scores,
         "tfidf_lines": score_lines,
         "keyed_term_frequency": keyed_frequencies,
