@@ -76,9 +76,3 @@ def without(tokens: Column, words: Sequence[str]) -> Column:
     """The tokens that are not in a short constant list, repeats kept."""
     words = list(words)
     return F.filter(tokens, lambda token: ~token.isin(words)) if words else tokens
-
-
-def distinct_without(tokens: Column, words: Sequence[str]) -> Column:
-    """The distinct tokens that are not in a short constant list."""
-    words = F.array(*map(F.lit, words)).cast("array<string>")
-    return F.array_except(tokens, words)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.stemming import stem_counts, stem_token
-from wordloom.functions.tokens import alnum_tokens, distinct_without, letter_tokens, without
+from wordloom.functions.tokens import alnum_tokens, letter_tokens, without
 from wordloom.operators.selection import Words, keep_vocabulary, remove_stop_words
 
 #: Longest vocabulary that may be carried along with every row.
@@ -22,12 +22,13 @@ def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     return distinct.select("token", stem_token("token").alias("term"))
 
 
-def _row_counts(corpus: DataFrame, tokens: Column) -> DataFrame:
+def _row_counts(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     """``doc_id, found``: the distinct stems of each row with their counts in it.
 
     Stemming row by row needs no shuffle, where a join with a stemmed vocabulary would
     move every token of the corpus.
     """
+    tokens = without(letter_tokens("text"), stop_words)
     return corpus.select("doc_id", stem_counts(tokens).alias("found"))
 
 
@@ -54,8 +55,7 @@ def document_frequency(
     if isinstance(stop_words, DataFrame):
         terms = _joined_terms(corpus, stop_words, distinct=True).distinct()
     else:
-        tokens = distinct_without(letter_tokens("text"), stop_words or ())
-        terms = _row_counts(corpus, tokens).select("doc_id", F.inline("found")).drop("tf")
+        terms = _row_counts(corpus, stop_words or ()).select("doc_id", F.inline("found")).drop("tf")
         if not one_row_per_document:
             terms = terms.distinct()
     terms = terms.filter(F.length("term") > 0)
@@ -78,8 +78,7 @@ def term_frequency(
         terms = _joined_terms(corpus, stop_words, distinct=False)
         counts = terms.withColumn("tf", F.lit(1))
     else:
-        tokens = without(letter_tokens("text"), stop_words or ())
-        counts = _row_counts(corpus, tokens).select("doc_id", F.inline("found"))
+        counts = _row_counts(corpus, stop_words or ()).select("doc_id", F.inline("found"))
     kept = keep_vocabulary(counts, vocabulary, "term")
     if one_row_per_document and not isinstance(stop_words, DataFrame):
         return kept
@@ -100,8 +99,7 @@ def term_frequency_dense(
     document that is the result, and nothing is shuffled. In general the rows of a
     document are then added up by a shuffle of partial sums.
     """
-    tokens = without(letter_tokens("text"), stop_words)
-    rows = _row_counts(corpus, tokens).withColumn("vocabulary", _as_array(vocabulary))
+    rows = _row_counts(corpus, stop_words).withColumn("vocabulary", _as_array(vocabulary))
     missing = F.transform(
         F.array_except("vocabulary", "found.term"),
         lambda term: F.struct(term.alias("term"), F.lit(0).cast("bigint").alias("tf")),

@@ -220,6 +220,7 @@ select distinct regexp_replace(lower(line), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '
 fields as (
   select regexp_extract(line, '^([^\\t]*?)[ .]+([0-9]+)[.]?$', ['term', 'df']) as f from lines)
 select f.term, max(cast(f.df as bigint)) as df from fields where f.df <> '' group by f.term""",
+        "scored_terms": f"with {_COUNTED_WORDS} select word as term from counted union select lower(trim(word)) from counted",
         "vocabulary_lines": _terms() + "select term || chr(9) || df as value from top",
     }
     return checks

@@ -29,6 +29,7 @@ from wordloom.operators import (
     document_frequency,
     keyed_term_frequency,
     keyed_term_maps,
+    scored_terms,
     stem_vocabulary,
     term_frequency,
     term_frequency_dense,
@@ -239,6 +240,12 @@ def parsed_counts_guarded(spark: SparkSession, folder: str) -> DataFrame:
     return term_counts(text_lines(_documents(spark, folder)).select(value.alias("value")), digits_only=True)
 
 
+def terms_of_both_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The same file read as a normalised vocabulary and as raw counts."""
+    file_lines = _count_lines(spark, folder)
+    return scored_terms(vocabulary(file_lines, normalise=True), term_counts(file_lines))
+
+
 def vocabulary_lines(spark: SparkSession, folder: str) -> DataFrame:
     return tsv_lines(top100_terms(spark, folder))
 
@@ -281,6 +288,7 @@ def registered() -> dict[str, Query]:
         "vocabulary_normalised": vocabulary_normalised,
         "term_counts": parsed_counts,
         "term_counts_guarded": parsed_counts_guarded,
+        "scored_terms": terms_of_both_lists,
         "vocabulary_lines": vocabulary_lines,
     }
     return queries
