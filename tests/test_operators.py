@@ -110,6 +110,16 @@ def test_cooccurrence_against_brute_force(spark, lines, words, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_very_long_line(spark, words):
+    """Time and memory grow with the length of a line, not with its square."""
+    n = 100_000
+    text = F.repeat(F.concat(F.lit("a b "), F.substring(F.col("id").cast("string"), 1, 0)), F.lit(n))
+    rows = O.cooccurrence_pairs(spark.range(1).select(text.alias("value")), words("a", "b"), 2)
+    assert values(rows) == [
+        ("a", "a", 2 * (n - 1)), ("a", "b", 2 * n - 1), ("b", "a", 2 * n - 1), ("b", "b", 2 * (n - 1)),
+    ]
+
+
 # Documents
 
 
