@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.common import table
 from wordloom.llm.packing import Capacity, pack_documents
+from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
+from wordloom.llm.quality import clean_lines
 from wordloom.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,12 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents, path, Capacity(tokens=2048))
 
 
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = clean_lines(table(spark, folder, "documents"))
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select("doc_id", *(f"quality.{name}" for name in fields))
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), path, limit=1024)
@@ -28,10 +36,11 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
+        "op3_quality_rules": quality_rules,
         "op9_token_counts": token_counts,
     }
 
 
 def check_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {}
+    return {"op3_quality_rules": QUALITY_SQL}
