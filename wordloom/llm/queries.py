@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.common import table
+from wordloom.llm.fingerprints import fingerprint_report
 from wordloom.llm.packing import Capacity, pack_documents
 from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
 from wordloom.llm.quality import clean_lines
@@ -22,6 +23,10 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents, path, Capacity(tokens=2048))
 
 
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_report(table(spark, folder, "documents"))
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = clean_lines(table(spark, folder, "documents"))
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -36,6 +41,7 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
+        "op2_document_fingerprints": document_fingerprints,
         "op3_quality_rules": quality_rules,
         "op9_token_counts": token_counts,
     }
