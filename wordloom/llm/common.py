@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -68,3 +71,30 @@ def text_slices(
             size += len(text)
         if begin < len(texts):
             yield batch.slice(begin), texts[begin:]
+
+
+def membership(ids: DataFrame, column: str, bits: int = 26) -> Callable[[str], Column]:
+    """A test of whether a value may be one of ``ids``: never false for one that is.
+
+    It is a bitmap of ``2 ** bits`` hash places (8 MB), gathered by the executors and
+    broadcast, so its size does not depend on the number of ids. With more ids more other
+    values pass, and what passes is to be joined with the ids. Used to keep most rows with
+    their texts out of a shuffle.
+    """
+    place = F.xxhash64(column).bitwiseAND(F.lit((1 << bits) - 1))
+    words = (
+        ids.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))").alias("mask"))
+        .toArrow()
+    )
+    bitmap = np.zeros(1 << (bits - 6), dtype=np.int64)
+    bitmap[words["word"].to_numpy()] = words["mask"].to_numpy()
+    sent = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def hit(places: pd.Series) -> pd.Series:
+        at = places.to_numpy()
+        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return lambda name: hit(F.xxhash64(name).bitwiseAND(F.lit((1 << bits) - 1)))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.common import table
 from wordloom.llm.fingerprints import fingerprint_report
+from wordloom.llm.jaccard import jaccard_components
 from wordloom.llm.packing import Capacity, pack_documents
 from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
 from wordloom.llm.quality import clean_lines
@@ -33,6 +34,10 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *(f"quality.{name}" for name in fields))
 
 
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), path, limit=1024)
@@ -43,6 +48,7 @@ def registered() -> dict[str, Query]:
         "op1_best_fit_packing": best_fit_packing,
         "op2_document_fingerprints": document_fingerprints,
         "op3_quality_rules": quality_rules,
+        "op6_ngram_jaccard_join": ngram_jaccard_join,
         "op9_token_counts": token_counts,
     }
 
