@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.llm.common import table
 from wordloom.llm.fingerprints import fingerprint_report
@@ -14,6 +15,7 @@ from wordloom.llm.packing import Capacity, pack_documents
 from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
 from wordloom.llm.quality import clean_lines
 from wordloom.llm.token_counts import count_tokens
+from wordloom.llm.toxicity import held_out, score_toxicity, train
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +40,15 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
 
 
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = train(documents, table(spark, folder, "labels").filter(~held_out()))
+    rows = score_toxicity(documents, model)
+    return rows.select(
+        "doc_id", held_out().alias("held_out"), "score", "predicted", F.size("clauses").alias("n_clauses")
+    )
+
+
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, folder, "documents"), path, limit=1024)
@@ -49,6 +60,7 @@ def registered() -> dict[str, Query]:
         "op2_document_fingerprints": document_fingerprints,
         "op3_quality_rules": quality_rules,
         "op6_ngram_jaccard_join": ngram_jaccard_join,
+        "op8_toxicity": toxicity,
         "op9_token_counts": token_counts,
     }
 
