@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import table
 from wordloom.llm.fingerprints import fingerprint_report
+from wordloom.llm.html_pages import extract_pages
 from wordloom.llm.jaccard import jaccard_components
 from wordloom.llm.packing import Capacity, pack_documents
 from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
@@ -54,6 +55,10 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), path, limit=1024)
 
 
+def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
@@ -62,6 +67,7 @@ def registered() -> dict[str, Query]:
         "op6_ngram_jaccard_join": ngram_jaccard_join,
         "op8_toxicity": toxicity,
         "op9_token_counts": token_counts,
+        "op10_html_extraction": html_extraction,
     }
 
 
