@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import table
 from wordloom.llm.fingerprints import fingerprint_report
 from wordloom.llm.html_pages import extract_pages
 from wordloom.llm.jaccard import jaccard_components
+from wordloom.llm.mixing import check_sql as mixing_sql
+from wordloom.llm.mixing import sample_mix, topic_of
+from wordloom.llm.ngram_scores import backoff_scores
 from wordloom.llm.packing import Capacity, pack_documents
 from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
 from wordloom.llm.quality import clean_lines
@@ -37,6 +40,42 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *(f"quality.{name}" for name in fields))
 
 
+#: The powers by which the query on mixing flattens each margin, and how it samples.
+MIX = {"source": 0.5, "lang": 0.7, "topic": 0.5}
+MIX_OPTIONS = {"share": 0.5, "seed": 17, "rounds": 6}
+
+
+def words_in(text: str = "text") -> Column:
+    """The number of words of a text, taken as its tokens."""
+    inner = F.btrim(F.col(text), F.lit(" \t\n\x0b\f\r"))
+    words = F.regexp_count(inner, F.lit(r"[\x20\x09-\x0D]+")) + 1
+    return F.when(inner != "", words).otherwise(0)
+
+
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sample_mix(
+        table(spark, folder, "documents"),
+        MIX,
+        tokens=words_in(),
+        topic=topic_of(F.col("text")),
+        tolerance=0,  # a fixed number of rounds, as the SQL has
+        **MIX_OPTIONS,
+    )
+    return rows.select(
+        "doc_id",
+        "source",
+        "lang",
+        "mixing.topic",
+        "mixing.tokens",
+        F.round("mixing.probability", 6).alias("probability"),
+        "mixing.sampled",
+    )
+
+
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff_scores(table(spark, folder, "documents"))
+
+
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
 
@@ -64,7 +103,9 @@ def registered() -> dict[str, Query]:
         "op1_best_fit_packing": best_fit_packing,
         "op2_document_fingerprints": document_fingerprints,
         "op3_quality_rules": quality_rules,
+        "op4_source_mixing": source_mixing,
         "op6_ngram_jaccard_join": ngram_jaccard_join,
+        "op7_lm_scoring": lm_scoring,
         "op8_toxicity": toxicity,
         "op9_token_counts": token_counts,
         "op10_html_extraction": html_extraction,
@@ -73,4 +114,7 @@ def registered() -> dict[str, Query]:
 
 def check_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op3_quality_rules": QUALITY_SQL}
+    return {
+        "op3_quality_rules": QUALITY_SQL,
+        "op4_source_mixing": mixing_sql(MIX, **MIX_OPTIONS),
+    }
