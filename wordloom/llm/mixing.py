@@ -173,7 +173,7 @@ def check_sql(powers: Mapping[str, float], share: float, seed: int, rounds: int)
     return rf"""
 with words as (
   select doc_id, source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as tokens,
-    list_max(list_transform(regexp_extract_all(text, '\p{{L}}{{7,}}'), x -> {{'n': length(x), 'w': x}})) as longest
+    list_max(list_transform(regexp_extract_all(text, '\p{{L}}{{7,}}'), lambda x: {{'n': length(x), 'w': x}})) as longest
   from documents),
 keyed as (
   select doc_id, source, lang, tokens,

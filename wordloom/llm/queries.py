@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import table
 from wordloom.llm.fingerprints import fingerprint_report
+from wordloom.llm.fixity import CHECK_SQL as FIXITY_SQL
+from wordloom.llm.fixity import audit, lay_out, warc_record
 from wordloom.llm.html_pages import extract_pages
 from wordloom.llm.jaccard import jaccard_components
 from wordloom.llm.mixing import check_sql as mixing_sql
@@ -72,6 +74,27 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """An audit of the archive of ``pages`` against a copy that went wrong in known ways:
+    of 97 records one has its first character changed and one is lost."""
+    pages = table(spark, folder, "pages")
+    places = lay_out(pages)
+    kind = F.col("page_id") % 97
+    damaged = F.when(
+        (kind == 5) & (F.coalesce("html", F.lit("")) != ""),
+        F.concat(F.lit("?"), F.substring("html", 2, 2**31 - 1)),
+    ).otherwise(F.coalesce("html", F.lit("")))
+    # The copy's records are read again and digested by themselves; the head of a record
+    # keeps the length that was stated.
+    stated = F.octet_length(F.coalesce("html", F.lit("")))
+    copy = pages.filter(~F.coalesce(kind == 6, F.lit(False))).select(
+        F.col("page_id").alias("id"),
+        F.sha2(warc_record(F.col("page_id"), F.col("url"), damaged, stated), 256).alias("digest"),
+    )
+    found = places.select("file", "offset", "page_id").join(copy, F.col("page_id") == F.col("id"))
+    return audit(places, found.select("file", "offset", "digest"))
+
+
 def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return backoff_scores(table(spark, folder, "documents"))
 
@@ -104,6 +127,7 @@ def registered() -> dict[str, Query]:
         "op2_document_fingerprints": document_fingerprints,
         "op3_quality_rules": quality_rules,
         "op4_source_mixing": source_mixing,
+        "op5_warc_fixity": warc_fixity,
         "op6_ngram_jaccard_join": ngram_jaccard_join,
         "op7_lm_scoring": lm_scoring,
         "op8_toxicity": toxicity,
@@ -117,4 +141,5 @@ def check_sql() -> dict[str, str]:
     return {
         "op3_quality_rules": QUALITY_SQL,
         "op4_source_mixing": mixing_sql(MIX, **MIX_OPTIONS),
+        "op5_warc_fixity": FIXITY_SQL,
     }
