@@ -134,7 +134,7 @@ def test_document_frequency_counts_documents_not_lines(corpus, words, as_table):
 
 def test_document_frequency_of_whole_documents(corpus):
     frame = corpus(("1", "cats\ncat the"), ("2", "Cat dogs DOG"), ("3", "the"), ("4", "12"))
-    rows = O.document_frequency(frame, ["the"], one_row_per_document=True)
+    rows = O.document_frequency(frame, ["the"], assume_unique_ids=True)
     assert values(rows) == [("cat", 2), ("dog", 1)]
     assert values(O.document_frequency(frame)) == [("cat", 2), ("dog", 1), ("the", 2)]
 
@@ -168,13 +168,41 @@ def test_counting_within_rows_equals_counting_by_shuffle(corpus, words):
         assert shuffled
 
 
-def test_a_vocabulary_too_long_for_the_dense_table_is_an_error(spark, corpus, monkeypatch):
-    from wordloom.operators import documents
+@pytest.mark.parametrize("blocks", [1, 7])
+def test_a_long_vocabulary_for_the_dense_table(spark, corpus, blocks):
+    terms = spark.range(100_001).select(F.concat(F.lit("t"), F.translate("id", "0123456789", "bcdfghjklm")).alias("term"))
+    rows = O.term_frequency_dense(corpus(("1", "tcb tcb"), ("2", "x")), terms, blocks=blocks)
+    assert rows.groupBy("doc_id").agg(F.count("term"), F.sum("tf")).orderBy("doc_id").collect() == [
+        ("1", 100_001, 2), ("2", 100_001, 0)]
 
-    monkeypatch.setattr(documents, "MAX_ROW_VOCABULARY", 10)
-    terms = spark.range(11).select(F.col("id").cast("string").alias("term"))
-    with pytest.raises(Exception, match="more than 10 terms"):
-        O.term_frequency_dense(corpus(("1", "a")), terms).collect()
+
+def test_the_dense_table_takes_a_table_of_stop_words(corpus, words):
+    rows = O.term_frequency_dense(corpus(*DOCUMENTS), words("cat", "the"), words("the"))
+    assert values(rows) == [
+        ("1", "cat", 2), ("1", "the", 0), ("2", "cat", 1), ("2", "the", 0), ("3", "cat", 0), ("3", "the", 0)]
+
+
+def test_records_of_equal_keys_keep_their_own_maps(corpus, words):
+    frame = corpus(("1", "a b a"), ("1", "a b a"), ("1", "zz"), ("2", ""))
+    rows = O.keyed_term_maps(frame, words("a", "b"))
+    assert sorted((r.doc_id, sorted(r.tf.items())) for r in rows.collect()) == [
+        ("1", []), ("1", [("a", 2), ("b", 1)]), ("1", [("a", 2), ("b", 1)]), ("2", [])]
+
+
+@pytest.mark.parametrize("mode", ["exact", "within"])
+@pytest.mark.parametrize("distance", [0, 1, 2])
+def test_a_large_vocabulary_gives_the_same_pairs(lines, words, mode, distance):
+    frame = lines("a b a a c", "b b", "", "c a")
+    rows = [O.cooccurrence_pairs(frame, words("a", "b", "c"), distance, mode, flag) for flag in (False, True)]
+    assert values(rows[0]) == values(rows[1])
+
+
+def test_conflicting_counts_are_an_error(lines):
+    from wordloom.sources import term_counts
+
+    assert values(term_counts(lines("a\t1", "a\t1"))) == [("a", 1)]
+    with pytest.raises(Exception, match="different counts for a"):
+        term_counts(lines("a\t1", "a\t2")).collect()
 
 
 def test_tfidf(spark):

@@ -37,14 +37,15 @@ def test_keyed_documents(lines):
     assert values(rows) == [("", "x"), ("d1", "some text"), ("d2", "a\tb"), ("d3", "")]
 
 
-def test_document_table_deals_out_a_small_file_and_drops_empty_texts(spark, tmp_path):
+def test_document_table_deals_out_rows_when_told_and_drops_empty_texts(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     rows = [(n, "x" * (n % 3), "other") for n in range(30)]
     spark.createDataFrame(rows, "id int, body string, more string").coalesce(1).write.parquet(path)
     table = S.document_table(spark, path, "id", "body")
     assert table.columns == ["doc_id", "text"]
     assert table.count() == 20
-    assert table.rdd.getNumPartitions() > 1
+    assert table.rdd.getNumPartitions() == 1
+    assert S.document_table(spark, path, "id", "body", partitions=3).rdd.getNumPartitions() == 3
 
 
 def test_document_table_reads_a_file_of_many_splits_where_it_lies(spark, tmp_path, sample):
@@ -100,3 +101,22 @@ def test_ranked_words_survive_a_file(spark, corpus, tmp_path):
     lines = S.read_lines(spark, path)
     assert values(S.vocabulary(lines)) == [("b",), ("c",)]
     assert values(S.term_counts(lines)) == [("b", 3), ("c", 2)]
+
+
+def test_fields_keep_their_places_and_maps_are_stripes(spark):
+    from wordloom.sinks import tsv_lines
+
+    rows = spark.createDataFrame([(None, "a", 1, {"y": 2, "x": 1})], "p string, q string, n long, m map<string,long>")
+    assert values(tsv_lines(rows)) == [("\ta\t1\t{x=1, y=2}",)]
+    with pytest.raises(TypeError):
+        tsv_lines(rows.selectExpr("array(1) as a"))
+
+
+def test_order_within_files(spark, tmp_path):
+    from wordloom.sinks import write_tsv
+
+    rows = spark.range(200).selectExpr("lpad(cast(id * 37 % 200 as string), 3, '0') as k", "id")
+    write_tsv(rows, str(tmp_path / "out"), order_by=["k"], within_files=True)
+    parts = [p.read_text().split() for p in (tmp_path / "out").glob("part-*")]
+    keys = [part[::2] for part in parts]
+    assert all(k == sorted(k) for k in keys) and sorted(sum(keys, [])) == sorted(r.k for r in rows.collect())

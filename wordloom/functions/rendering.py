@@ -18,6 +18,13 @@ def stripe_text(stripe: Column | str) -> Column:
     return F.concat(F.lit("{"), F.array_join(parts, ", "), F.lit("}"))
 
 
+def score_line(doc_id: Column | str, term: Column | str, score: Column | str) -> Column:
+    """``doc TAB term TAB score`` with six decimals."""
+    doc_id, term = (F.col(c) if isinstance(c, str) else c for c in (doc_id, term))
+    parts = (F.coalesce(c.cast("string"), F.lit("")) for c in (doc_id, term))
+    return F.concat_ws("\t", *parts, score_text(score))
+
+
 def score_text(score: Column | str) -> Column:
     """Six decimals."""
     return F.format_string("%.6f", score)

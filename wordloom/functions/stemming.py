@@ -136,7 +136,7 @@ def porter_stem(word: str) -> str:
 
 #: Stems of the tokens that the running task has seen.
 _seen: dict[str, str] = {}
-MAX_SEEN = 1_000_000
+MAX_SEEN = 100_000
 
 
 def _remembered_stem(token: str) -> str:

@@ -1,6 +1,7 @@
 """Column functions that turn text into arrays of tokens, and small string helpers.
 
-All of them are built-in expressions, so they run inside whole-stage codegen.
+All of them are built-in expressions and run in the JVM; all but ``without``, which takes
+a lambda and is interpreted, are part of whole-stage codegen.
 Splitting and dropping the empty ends is measurably faster in Spark than collecting
 the matches of the complementary pattern.
 """

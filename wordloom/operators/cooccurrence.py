@@ -39,24 +39,42 @@ def _following(lines: DataFrame, distance: int, mode: str) -> DataFrame:
 
 
 def cooccurrence_pairs(
-    lines: DataFrame, vocabulary: DataFrame, distance: int, mode: str = "within"
+    lines: DataFrame,
+    vocabulary: DataFrame,
+    distance: int,
+    mode: str = "within",
+    large_vocabulary: bool = False,
 ) -> DataFrame:
     """``word, coword, cnt`` for both words in the vocabulary.
 
     ``exact`` pairs the words whose positions differ by the distance; at distance 0 every
     word is paired with itself twice. ``within`` pairs all positions that differ by 1 up
     to the distance. The order within a pair matters: (a, b) and (b, a) are two rows.
+
+    ``large_vocabulary`` is for one that holds most words of the corpus: unordered pairs
+    are counted in one aggregation, then tested, then mirrored.
     """
     if mode not in ("exact", "within"):
         raise ValueError(f"unknown mode {mode!r}")
     if distance < 0 and mode == "exact":
         raise ValueError("the distance must not be negative")
     following = _following(lines, max(distance, 0), mode)
+    if large_vocabulary:
+        following = following.select(
+            F.least("word", "coword").alias("word"), F.greatest("word", "coword").alias("coword")
+        )
     forward = following.groupBy("word", "coword").agg(F.count(F.lit(1)).alias("cnt"))
     key = vocabulary.columns[0]
     vocabulary = vocabulary.select(key).filter(F.col(key) != "")
     forward = keep_vocabulary(forward, vocabulary, "word")
     forward = keep_vocabulary(forward, vocabulary, "coword")
+    if large_vocabulary:
+        twice = F.array(F.struct("word", "coword", (F.col("cnt") * 2).alias("cnt")))
+        sides = F.array(
+            F.struct("word", "coword", "cnt"),
+            F.struct(F.col("coword").alias("word"), F.col("word").alias("coword"), "cnt"),
+        )
+        return forward.select(F.inline(F.when(F.col("word") == F.col("coword"), twice).otherwise(sides)))
     directions = F.array(
         F.struct("word", "coword", "cnt"),
         F.struct(F.col("coword").alias("word"), F.col("word").alias("coword"), "cnt"),

@@ -9,55 +9,62 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.stemming import stem_counts, stem_token
 from wordloom.functions.tokens import alnum_tokens, letter_tokens, without
-from wordloom.operators.selection import Words, keep_vocabulary, remove_stop_words
-
-#: Longest vocabulary that may be carried along with every row.
-MAX_ROW_VOCABULARY = 100_000
-
+from wordloom.operators.selection import (
+    Words,
+    keep_vocabulary,
+    mark_vocabulary,
+    remove_stop_words,
+)
 
 def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     """``token, term``: the distinct tokens that are no stop words, with their stems."""
-    tokens = corpus.select(F.explode(letter_tokens("text")).alias("token"))
-    distinct = remove_stop_words(tokens, stop_words, "token").distinct()
-    return distinct.select("token", stem_token("token").alias("term"))
+    tokens = corpus.select(F.explode(letter_tokens("text")).alias("token")).distinct()
+    kept = remove_stop_words(tokens, stop_words, "token")
+    return kept.select("token", stem_token("token").alias("term"))
 
 
-def _row_counts(corpus: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+def _row_counts(corpus: DataFrame, stop_words: Sequence[str], distinct: bool = False) -> DataFrame:
     """``doc_id, found``: the distinct stems of each row with their counts in it.
 
     Stemming row by row needs no shuffle, where a join with a stemmed vocabulary would
-    move every token of the corpus.
+    move every token of the corpus. With ``distinct`` every token counts once, for callers
+    that do not look at the counts.
     """
-    tokens = without(letter_tokens("text"), stop_words)
+    tokens = letter_tokens("text")
+    tokens = without(F.array_distinct(tokens) if distinct else tokens, stop_words)
     return corpus.select("doc_id", stem_counts(tokens).alias("found"))
 
 
-def _joined_terms(corpus: DataFrame, stop_words: DataFrame, distinct: bool) -> DataFrame:
-    """``doc_id, term``: the stems of the tokens that a table of stop words leaves."""
-    tokens = letter_tokens("text")
-    if distinct:
-        tokens = F.array_distinct(tokens)
-    rows = corpus.select("doc_id", F.explode(tokens).alias("token"))
-    kept = remove_stop_words(rows, stop_words, "token")
-    return kept.select("doc_id", stem_token("token").alias("term"))
+def _joined_counts(corpus: DataFrame, stop_words: DataFrame) -> DataFrame:
+    """``doc_id, term, tf`` without the words of a table: one row per token and document,
+    so a term has as many as it has tokens. The table meets counted tokens."""
+    tokens = corpus.select("doc_id", F.explode(letter_tokens("text")).alias("token"))
+    counted = tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    kept = remove_stop_words(counted, stop_words, "token", spread=F.col("doc_id"))
+    return kept.select("doc_id", stem_token("token").alias("term"), "tf")
+
+
+def _counts(corpus: DataFrame, stop_words: Words, distinct: bool = False) -> DataFrame:
+    if isinstance(stop_words, DataFrame):
+        return _joined_counts(corpus, stop_words)
+    rows = _row_counts(corpus, stop_words or (), distinct)
+    return rows.select("doc_id", F.inline("found"))
 
 
 def document_frequency(
-    corpus: DataFrame, stop_words: Words = None, one_row_per_document: bool = False
+    corpus: DataFrame, stop_words: Words = None, assume_unique_ids: bool = False
 ) -> DataFrame:
     """``term, df``: the number of distinct documents with the term.
 
-    In general the (document, term) pairs are made distinct by a shuffle. If the id is a
-    key of the corpus, so that every row is a whole document, and the stop list is a
-    short sequence, the terms of a row are distinct already: then only partial counts
-    per term are shuffled.
+    In general the (document, term) pairs are made distinct by a shuffle.
+    ``assume_unique_ids`` says that no id is on two rows, which is not checked; then, with
+    a stop list that is a sequence, the terms of a row are distinct already and only
+    partial counts per term are shuffled. With a table of stop words tokens are counted
+    per document and one shuffle more makes their stems distinct, whatever the ids.
     """
-    if isinstance(stop_words, DataFrame):
-        terms = _joined_terms(corpus, stop_words, distinct=True).distinct()
-    else:
-        terms = _row_counts(corpus, stop_words or ()).select("doc_id", F.inline("found")).drop("tf")
-        if not one_row_per_document:
-            terms = terms.distinct()
+    terms = _counts(corpus, stop_words, distinct=True).select("doc_id", "term")
+    if isinstance(stop_words, DataFrame) or not assume_unique_ids:
+        terms = terms.distinct()
     terms = terms.filter(F.length("term") > 0)
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
@@ -66,21 +73,18 @@ def term_frequency(
     corpus: DataFrame,
     vocabulary: DataFrame,
     stop_words: Words = None,
-    one_row_per_document: bool = False,
+    assume_unique_ids: bool = False,
 ) -> DataFrame:
     """``doc_id, term, tf``: occurrences of the vocabulary terms.
 
     Documents without such a term have no row. In general the rows of a document are
-    added up by a shuffle of partial counts. If every row is a whole document and the
-    stop list a short sequence, the row is counted where it is.
+    added up by a shuffle of partial counts. If no id is on two rows, which
+    ``assume_unique_ids`` asserts without a check, and the stop list is a sequence, the
+    row is counted where it is.
     """
-    if isinstance(stop_words, DataFrame):
-        terms = _joined_terms(corpus, stop_words, distinct=False)
-        counts = terms.withColumn("tf", F.lit(1))
-    else:
-        counts = _row_counts(corpus, stop_words or ()).select("doc_id", F.inline("found"))
-    kept = keep_vocabulary(counts, vocabulary, "term")
-    if one_row_per_document and not isinstance(stop_words, DataFrame):
+    counts = _counts(corpus, stop_words)
+    kept = keep_vocabulary(counts, vocabulary, "term", spread=F.col("doc_id"))
+    if assume_unique_ids and not isinstance(stop_words, DataFrame):
         return kept
     return kept.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
@@ -88,71 +92,74 @@ def term_frequency(
 def term_frequency_dense(
     corpus: DataFrame,
     vocabulary: DataFrame,
-    stop_words: Sequence[str] = (),
-    one_row_per_document: bool = False,
+    stop_words: Words = None,
+    assume_unique_ids: bool = False,
+    blocks: int = 1,
 ) -> DataFrame:
     """``doc_id, term, tf`` for every document and every vocabulary term, zeros included.
 
-    The vocabulary travels with the rows as one constant array, so documents and terms
-    are never joined; it must be short, and so must the stop list (``small_word_list``
-    reads one). Each row adds a zero for every term it lacks. If every row is a whole
-    document that is the result, and nothing is shuffled. In general the rows of a
-    document are then added up by a shuffle of partial sums.
+    The vocabulary is evaluated once and travels with the documents as ``blocks`` constant
+    arrays, so documents and terms are never joined; a long one is given more blocks, as
+    each is unfolded by itself. Zeros are added once per document: where no id is on two
+    rows (``assume_unique_ids``, not checked) and the stop list is a sequence, nothing is
+    shuffled; otherwise the counts of a document, which has at most as many as the
+    vocabulary, are gathered before.
     """
-    rows = _row_counts(corpus, stop_words).withColumn("vocabulary", _as_array(vocabulary))
+    listed = _as_arrays(vocabulary, blocks)
+    if assume_unique_ids and not isinstance(stop_words, DataFrame):
+        rows = _row_counts(corpus, stop_words or ())
+    else:
+        counts = term_frequency(corpus, vocabulary, stop_words)
+        # Documents without any of the terms come from their ids alone.
+        ids = corpus.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf"))
+        found = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
+        rows = counts.unionByName(ids.distinct()).groupBy("doc_id").agg(found.alias("found"))
+    rows = rows.select("doc_id", "found", F.explode(listed).alias("block"))
     missing = F.transform(
-        F.array_except("vocabulary", "found.term"),
+        F.array_except("block", "found.term"),
         lambda term: F.struct(term.alias("term"), F.lit(0).cast("bigint").alias("tf")),
     )
-    listed = rows.select("doc_id", F.inline(F.concat("found", missing)))
-    kept = keep_vocabulary(listed, vocabulary, "term")
-    if one_row_per_document:
-        return kept
-    return kept.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    if blocks > 1:
+        number = lambda term: F.pmod(F.xxhash64(term), F.lit(blocks))
+        own = F.filter("found", lambda x: number(x["term"]) == number(F.get("block", F.lit(0))))
+    else:
+        own = F.col("found")
+    every = rows.select("doc_id", F.inline(F.concat(own, missing)))
+    if assume_unique_ids and not isinstance(stop_words, DataFrame):
+        return keep_vocabulary(every, vocabulary, "term", spread=F.col("doc_id"))
+    return every
 
 
 def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``doc_id, term, tf`` of unstemmed tokens, for a vocabulary of any size."""
     tokens = keyed.select("doc_id", F.explode(alnum_tokens("text")).alias("term"))
-    kept = keep_vocabulary(tokens, vocabulary, "term")
-    return kept.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return keep_vocabulary(counts, vocabulary, "term", spread=F.col("doc_id"))
 
 
 def keyed_term_maps(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``doc_id, tf``: one map of counts per keyed record, empty if nothing matches.
 
-    Nothing is shuffled. The vocabulary must be short; ``keyed_term_frequency`` takes
-    one of any size.
+    A record is numbered, its tokens are counted before any shuffle, what the vocabulary
+    (of any size) has of them is gathered by the number. The time is linear in tokens.
     """
-    records = keyed.select(
-        "doc_id", alnum_tokens("text").alias("terms"), _as_array(vocabulary).alias("vocabulary")
+    nothing = F.array(F.lit(None).cast("string"))
+    records = keyed.select(F.monotonically_increasing_id().alias("_record"), "doc_id", "text")
+    tokens = records.select(
+        "_record", "doc_id", F.explode(F.concat(alnum_tokens("text"), nothing)).alias("term")
     )
-    counts = _counts_in_row("terms", "vocabulary")
-    return records.select("doc_id", F.map_from_entries(counts).alias("tf"))
+    counts = tokens.groupBy("_record", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # One branch, so that a record is numbered once; the null token keeps empty records.
+    rows = mark_vocabulary(counts, vocabulary, "term", F.col("_record")).filter("_hit or term is null")
+    entries = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
+    gathered = rows.groupBy("_record", "doc_id").agg(F.array_sort(entries).alias("found"))
+    return gathered.select("doc_id", F.map_from_entries("found").alias("tf"))
 
 
-def _as_array(vocabulary: DataFrame) -> Column:
-    """The terms as one constant array; a vocabulary too long for that is an error."""
+def _as_arrays(vocabulary: DataFrame, blocks: int) -> Column:
+    """The terms as one constant array of arrays, a block each."""
     term = F.col(vocabulary.columns[0]).alias("term")
-    terms = vocabulary.select(term).distinct().limit(MAX_ROW_VOCABULARY + 1)
-    listed = terms.agg(F.array_sort(F.collect_list("term")).alias("terms"))
-    checked = F.when(F.size("terms") <= MAX_ROW_VOCABULARY, F.col("terms")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_ROW_VOCABULARY} terms to list for every row"))
-    )
-    return listed.select(checked).scalar()
-
-
-def _counts_in_row(terms: str, vocabulary: str) -> Column:
-    """Array of ``(term, tf)``: how often each vocabulary term occurs in an array.
-
-    The time is proportional to the length of the array times the number of different
-    vocabulary terms in it.
-    """
-    found = F.array_sort(F.array_intersect(terms, vocabulary))
-    return F.transform(
-        found,
-        lambda term: F.struct(
-            term.alias("term"),
-            (F.size(terms) - F.size(F.array_remove(terms, term))).cast("bigint").alias("tf"),
-        ),
-    )
+    terms = vocabulary.select(term).filter("term is not null").distinct()
+    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block")
+    listed = terms.groupBy(block).agg(F.array_sort(F.collect_list("term")).alias("terms"))
+    return listed.agg(F.collect_list("terms").alias("terms")).scalar()

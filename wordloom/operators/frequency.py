@@ -21,8 +21,11 @@ def word_count(
     Counting starts on the map side; a hot word costs one row per task in the shuffle.
     """
     words = corpus.select(F.explode(word_tokens(column, case_sensitive)).alias("word"))
-    kept = remove_stop_words(words, stop_words)
-    return kept.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    count = F.count(F.lit(1)).alias("cnt")
+    if isinstance(stop_words, DataFrame):
+        # Counted first: if the list cannot be broadcast, counted words meet it.
+        return remove_stop_words(words.groupBy("word").agg(count), stop_words)
+    return remove_stop_words(words, stop_words).groupBy("word").agg(count)
 
 
 def top_words(counts: DataFrame, k: int = 50) -> DataFrame:

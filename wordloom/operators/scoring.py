@@ -7,17 +7,23 @@ from pyspark.sql import functions as F
 
 
 def tfidf(
-    frequencies: DataFrame, document_counts: DataFrame, total_documents: int = 10_000
+    frequencies: DataFrame, document_counts: DataFrame, total_documents: int | None = 10_000
 ) -> DataFrame:
     """``doc_id, term, tfidf`` with ``tf * log10(total_documents / (df + 1))``.
 
     ``frequencies`` is a dense or sparse table of ``doc_id, term, tf``;
     ``document_counts`` gives ``term, df``. A term without a count is taken to be in one
-    document. The number of documents is a parameter, not the size of the corpus.
+    document. The number of documents is a parameter; ``None`` takes the number of
+    documents that ``frequencies`` has, which is the corpus if the table is dense.
     """
+    if total_documents is None:
+        counted = frequencies.select("doc_id").distinct().agg(F.count(F.lit(1)).cast("double"))
+        total = counted.scalar()
+    else:
+        total = F.lit(float(total_documents))
     looked_up = frequencies.join(document_counts.select("term", "df"), "term", "left")
     df = F.coalesce(F.col("df"), F.lit(1))
-    weight = F.log10(F.lit(float(total_documents)) / (df + 1))
+    weight = F.log10(total / (df + 1))
     return looked_up.select("doc_id", "term", (F.col("tf") * weight).alias("tfidf"))
 
 

@@ -3,28 +3,60 @@
 A list is a short Python sequence or a DataFrame. A sequence is already in the driver
 and becomes a constant set inside the generated code. A DataFrame is joined without a
 hint: Spark broadcasts it when its size (that of a LIMIT, of a file, of a cached table)
-is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
+is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise. For that case
+operators join what they have counted and not single occurrences, and rows that hold a
+frequent word many times can be spread over parts of it with ``spread``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Words = Sequence[str] | DataFrame | None
 
+#: Parts into which the rows of a word are dealt where ``spread`` is given.
+PARTS = 16
 
-def remove_stop_words(rows: DataFrame, words: Words, column: str = "word") -> DataFrame:
+
+def _join(
+    rows: DataFrame, words: DataFrame, column: str, how: str, spread: Column | None
+) -> DataFrame:
+    name = words.columns[0]
+    listed = words.select(F.col(name).alias("_word"))
+    if spread is None:
+        return rows.join(listed, rows[column] == listed["_word"], how)
+    listed = listed.select("_word", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part"))
+    dealt = rows.withColumn("_of", F.pmod(F.xxhash64(spread), F.lit(PARTS)).cast("int"))
+    same = (dealt[column] == listed["_word"]) & (dealt["_of"] == listed["_part"])
+    return dealt.join(listed, same, how).drop("_of")
+
+
+def remove_stop_words(
+    rows: DataFrame, words: Words, column: str = "word", spread: Column | None = None
+) -> DataFrame:
     """The rows whose word is not in the list."""
     if isinstance(words, DataFrame):
-        (name,) = words.columns
-        return rows.join(words, rows[column] == words[name], "left_anti")
+        return _join(rows, words, column, "left_anti", spread)
     return rows.filter(~F.col(column).isin(list(words))) if words else rows
 
 
-def keep_vocabulary(rows: DataFrame, vocabulary: DataFrame, column: str = "word") -> DataFrame:
+def keep_vocabulary(
+    rows: DataFrame, vocabulary: DataFrame, column: str = "word", spread: Column | None = None
+) -> DataFrame:
     """The rows whose word is in the vocabulary, that is in its first column."""
-    key = vocabulary.columns[0]
-    return rows.join(vocabulary.select(key), rows[column] == vocabulary[key], "left_semi")
+    return _join(rows, vocabulary, column, "left_semi", spread)
+
+
+def mark_vocabulary(
+    rows: DataFrame, vocabulary: DataFrame, column: str, spread: Column
+) -> DataFrame:
+    """All rows, with ``_hit`` true for those whose word is in the vocabulary, else null."""
+    words = vocabulary.select(F.col(vocabulary.columns[0]).alias("_word")).distinct()
+    parts = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    words = words.select("_word", F.explode(parts).alias("_part"), F.lit(True).alias("_hit"))
+    dealt = rows.withColumn("_of", F.pmod(F.xxhash64(spread), F.lit(PARTS)).cast("int"))
+    same = (F.col(column) == F.col("_word")) & (F.col("_of") == F.col("_part"))
+    return dealt.join(words, same, "left").drop("_of", "_word", "_part")

@@ -1,8 +1,8 @@
 """SQL for DuckDB that computes every registered query in another way.
 
 Tokens are found with the complementary pattern, co-occurrence is a self join on
-positions, and stemming is a row of regular-expression steps, so an error in the engine
-is not repeated here.
+positions, and stemming is a row of regular-expression steps. The stop list and the
+suffix tables are the engine's own; the tests compare those with stems written out.
 """
 
 from __future__ import annotations
@@ -199,6 +199,26 @@ hits as materialized (select * from tokens where term in (select word from vocab
         "term_frequency_dense_by_line": dense,
         "tfidf": _terms()
         + "select doc_id, term, round(tf * log10(10000.0 / (df + 1)), 6) + 0.0 as tfidf from dense",
+        "term_frequency_dense_joined": _terms(_LANGUAGES) + "select doc_id, term, tf from dense",
+        "tfidf_corpus_size": _terms()
+        + "select doc_id, term, round(tf * log10((select count(*) from documents where text <> '')"
+        " / cast(df + 1 as double)), 6) + 0.0 as tfidf from dense",
+        "tfidf_from_lists": _terms()
+        + """, lists as (
+  select case when length(term) % 2 = 0 then ' ' || upper(term) else term end as raw, df,
+    length(term) % 3 = 0 as three from top),
+scored as (select lower(trim(raw)) as term from lists union select raw from lists where not three)
+select d.doc_id, scored.term,
+  round(coalesce(terms.tf, 0) * log10(10000.0 / (coalesce(lists.df, 1) + 1)), 6) + 0.0 as tfidf
+from (select doc_id from documents where text <> '') d cross join scored
+left join terms on terms.doc_id = d.doc_id and terms.term = scored.term
+left join lists on lists.raw = scored.term and not lists.three""",
+        "tfidf_tsv_lines": _terms()
+        + "select doc_id || chr(9) || term || chr(9) || printf('%.6f', tf * log10(cast(10000 as double) / (df + 1)))"
+        " as value from dense",
+        "stripe_lines": _pairs(_within(2))
+        + "select word || chr(9) || '{' || string_agg(coword || '=' || cnt, ', ' order by coword) || '}' as value\n"
+        "from pairs group by word",
         "tfidf_lines": _terms()
         + "select doc_id, term, printf('%.6f', tf * log10(cast(10000 as double) / (df + 1))) as score from dense",
         "keyed_term_frequency": keyed
@@ -216,10 +236,7 @@ select distinct regexp_replace(lower(line), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '
         "vocabulary_raw": f"with {_COUNTED_WORDS} select distinct word from counted",
         "vocabulary_normalised": f"with {_COUNTED_WORDS} select distinct lower(trim(word)) as word from counted",
         "term_counts": f"with {_COUNTED_WORDS} select word as term, max(cnt) as df from counted group by word",
-        "term_counts_guarded": f"""with {_LINES},
-fields as (
-  select regexp_extract(line, '^([^\\t]*?)[ .]+([0-9]+)[.]?$', ['term', 'df']) as f from lines)
-select f.term, max(cast(f.df as bigint)) as df from fields where f.df <> '' group by f.term""",
+        "term_counts_guarded": f"select word as term, cnt as df from ({_word_counts()}) where length(word) % 4 = 0",
         "scored_terms": f"with {_COUNTED_WORDS} select word as term from counted union select lower(trim(word)) from counted",
         "vocabulary_lines": _terms() + "select term || chr(9) || df as value from top",
     }

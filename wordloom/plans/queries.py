@@ -19,6 +19,7 @@ from wordloom.functions import (
     letter_tokens,
     lines_of,
     pair_text,
+    score_line,
     score_text,
     stripe_text,
     word_tokens,
@@ -103,7 +104,9 @@ def stripes(distance: int, spark: SparkSession, folder: str) -> DataFrame:
 def pairs_of_all_words(spark: SparkSession, folder: str) -> DataFrame:
     """Neighbours over the whole vocabulary of the corpus, not only its top."""
     documents = _documents(spark, folder)
-    return cooccurrence_pairs(text_lines(documents), word_count(documents, STOP_WORDS), 1)
+    return cooccurrence_pairs(
+        text_lines(documents), word_count(documents, STOP_WORDS), 1, large_vocabulary=True
+    )
 
 
 # Terms and documents
@@ -127,7 +130,7 @@ def _language_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    return document_frequency(_documents(spark, folder), STOP_WORDS, one_row_per_document=True)
+    return document_frequency(_documents(spark, folder), STOP_WORDS, assume_unique_ids=True)
 
 
 def document_frequencies_by_line(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +147,7 @@ def top100_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 def term_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     terms = top100_terms(spark, folder)
-    return term_frequency(_documents(spark, folder), terms, STOP_WORDS, one_row_per_document=True)
+    return term_frequency(_documents(spark, folder), terms, STOP_WORDS, assume_unique_ids=True)
 
 
 def term_frequencies_by_line(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +157,7 @@ def term_frequencies_by_line(spark: SparkSession, folder: str) -> DataFrame:
 def term_frequencies_dense(spark: SparkSession, folder: str) -> DataFrame:
     terms = top100_terms(spark, folder)
     return term_frequency_dense(
-        _documents(spark, folder), terms, STOP_WORDS, one_row_per_document=True
+        _documents(spark, folder), terms, STOP_WORDS, assume_unique_ids=True
     )
 
 
@@ -162,6 +165,11 @@ def term_frequencies_dense_by_line(spark: SparkSession, folder: str) -> DataFram
     return term_frequency_dense(_by_line(spark, folder), top100_terms(spark, folder), STOP_WORDS)
 
 
+def term_frequencies_dense_joined(spark: SparkSession, folder: str) -> DataFrame:
+    terms = top_terms(document_frequencies_joined(spark, folder), 100)
+    return term_frequency_dense(_documents(spark, folder), terms, _language_codes(spark, folder))
+
+
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
     return tfidf(term_frequencies_dense(spark, folder), top100_terms(spark, folder))
 
@@ -171,6 +179,43 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
     return _scores(spark, folder).select("doc_id", "term", rounded.alias("tfidf"))
 
 
+def scores_of_corpus_size(spark: SparkSession, folder: str) -> DataFrame:
+    """With the number of documents of the corpus in place of the default."""
+    rows = tfidf(term_frequencies_dense(spark, folder), top100_terms(spark, folder), None)
+    return rows.select("doc_id", "term", (F.round("tfidf", 6) + F.lit(0.0)).alias("tfidf"))
+
+
+def _term_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The top terms as a hand-kept file: some in capitals after a blank, and some lines
+    with a third field, which are no counts."""
+    even = F.length("term") % 2 == 0
+    term = F.when(even, F.concat(F.lit(" "), F.upper("term"))).otherwise(F.col("term"))
+    more = F.when(F.length("term") % 3 == 0, "\tmore").otherwise("")
+    line = F.concat(term, F.lit("\t"), F.col("df").cast("string"), more)
+    return top100_terms(spark, folder).select(line.alias("value"))
+
+
+def scores_from_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of the normalised vocabulary and of the raw counts, scored by the raw counts;
+    a term without one counts as being in one document."""
+    file_lines = _term_lines(spark, folder)
+    counts = term_counts(file_lines)
+    terms = scored_terms(vocabulary(file_lines, normalise=True), counts)
+    dense = term_frequency_dense(_documents(spark, folder), terms, STOP_WORDS, assume_unique_ids=True)
+    rows = tfidf(dense, counts)
+    return rows.select("doc_id", "term", (F.round("tfidf", 6) + F.lit(0.0)).alias("tfidf"))
+
+
+def tfidf_tsv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _scores(spark, folder).select(score_line("doc_id", "term", "tfidf").alias("value"))
+
+
+def stripe_lines(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    words = top_words(word_count(documents, STOP_WORDS), 50)
+    return tsv_lines(cooccurrence_stripes(text_lines(documents), words, 2))
+
+
 def score_lines(spark: SparkSession, folder: str) -> DataFrame:
     rows = _scores(spark, folder)
     return rows.select("doc_id", "term", score_text("tfidf").alias("score"))
@@ -235,9 +280,17 @@ def parsed_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parsed_counts_guarded(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of the corpus with a tab put in: only those that end in a number are counts."""
-    value = F.regexp_replace("value", r"[ .]+(\w+)[.]?$", "\t$1")
-    return term_counts(text_lines(_documents(spark, folder)).select(value.alias("value")), digits_only=True)
+    """A file of word counts of which a part is sound: in the others the count is no
+    number, or missing, or followed by a third field."""
+    count = F.col("cnt").cast("string")
+    rest = (
+        F.when(F.length("word") % 4 == 0, F.concat(F.lit("\t"), count))
+        .when(F.length("word") % 4 == 1, F.concat(F.lit("\t"), count, F.lit("x")))
+        .when(F.length("word") % 4 == 2, F.lit(""))
+        .otherwise(F.concat(F.lit("\t"), count, F.lit("\tmore")))
+    )
+    lines = word_counts(spark, folder).select(F.concat("word", rest).alias("value"))
+    return term_counts(lines, digits_only=True)
 
 
 def terms_of_both_lists(spark: SparkSession, folder: str) -> DataFrame:
@@ -277,7 +330,12 @@ def registered() -> dict[str, Query]:
         "term_frequency_by_line": term_frequencies_by_line,
         "term_frequency_dense": term_frequencies_dense,
         "term_frequency_dense_by_line": term_frequencies_dense_by_line,
+        "term_frequency_dense_joined": term_frequencies_dense_joined,
         "tfidf": scores,
+        "tfidf_corpus_size": scores_of_corpus_size,
+        "tfidf_from_lists": scores_from_lists,
+        "tfidf_tsv_lines": tfidf_tsv_lines,
+        "stripe_lines": stripe_lines,
         "tfidf_lines": score_lines,
         "keyed_term_frequency": keyed_frequencies,
         "keyed_term_maps": keyed_maps,

@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wordloom.functions.rendering import stripe_text
+
+
+def _field(field: T.StructField) -> Column:
+    """A column as text: maps as stripes, NULL as an empty field that keeps its place."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.MapType):
+        text = stripe_text(column)
+    elif isinstance(field.dataType, (T.ArrayType, T.StructType)):
+        raise TypeError(f"{field.name}: {field.dataType.simpleString()} has no text form")
+    else:
+        text = column.cast("string")
+    return F.coalesce(text, F.lit(""))
 
 
 def tsv_lines(rows: DataFrame) -> DataFrame:
-    """``value``: the columns of every row, joined by tabs."""
-    return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in rows.columns]).alias("value"))
+    """``value``: the columns of every row, joined by tabs.
+
+    NULL is an empty field, a map is ``{a=1, b=2}``; arrays and structs are errors.
+    """
+    return rows.select(F.concat_ws("\t", *map(_field, rows.schema.fields)).alias("value"))
 
 
 def write_tsv(
@@ -18,13 +36,18 @@ def write_tsv(
     path: str,
     overwrite: bool = False,
     order_by: Sequence[str] | None = None,
+    within_files: bool = False,
 ) -> None:
     """Write tab-separated lines; fail on an existing path unless told to overwrite.
 
     With ``order_by`` the part files follow each other in that (byte) order. The sort
-    partitions by range, so the output stays spread over many tasks and files.
+    partitions by range, so the output stays spread over many tasks and files; to find the
+    ranges Spark computes the rows a second time. ``within_files`` orders each file by
+    itself instead: rows are dealt by a hash of the first column, as reducers get keys.
     """
-    if order_by:
+    if order_by and within_files:
+        rows = rows.repartition(order_by[0]).sortWithinPartitions(*order_by)
+    elif order_by:
         rows = rows.orderBy(*order_by)
     mode = "overwrite" if overwrite else "errorifexists"
     tsv_lines(rows).write.mode(mode).text(path)

@@ -37,23 +37,23 @@ def keyed_documents(lines: DataFrame) -> DataFrame:
 
 
 def document_table(
-    spark: SparkSession, path: str, id_column: str = "doc_id", text_column: str = "text"
+    spark: SparkSession,
+    path: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    partitions: int | None = None,
 ) -> DataFrame:
     """``doc_id, text`` of a Parquet table, one row per document.
 
-    Texts without any line are left out. An input with fewer splits than the session has
-    cores (a small file with a single row group, say) is dealt out over the cores before
-    the tokenising starts. An input with enough splits, so any large one, is read where
-    it lies and not shuffled.
+    Texts without any line are left out. The table is read where it lies; a caller who
+    knows that it has too few splits for its cores (one small file, say) gives a number of
+    ``partitions`` to deal the rows out to, at the price of a shuffle.
     """
     table = spark.read.parquet(path).select(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
     )
     documents = table.filter(F.col("text") != "")
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        return documents.repartition(2 * cores)
-    return documents
+    return documents.repartition(partitions) if partitions else documents
 
 
 def text_lines(documents: DataFrame) -> DataFrame:

@@ -42,7 +42,8 @@ def term_counts(lines: DataFrame, digits_only: bool = False) -> DataFrame:
     do not count).
 
     A count that is no number raises an error, unless ``digits_only`` says to keep only
-    the lines whose count is a row of digits. A term given twice keeps its larger count.
+    the lines whose count is a row of digits. A term given twice with different counts
+    raises an error, too, since lines of a table have no order in which one could win.
     """
     fields = F.split(F.regexp_replace("value", r"\t+$", ""), "\t")
     parsed = lines.select(fields.alias("fields")).filter(F.size("fields") == 2)
@@ -52,4 +53,6 @@ def term_counts(lines: DataFrame, digits_only: bool = False) -> DataFrame:
         rows = parsed.select(term.alias("term"), number.alias("df")).filter("df is not null")
     else:
         rows = parsed.select(term.alias("term"), count.cast("bigint").alias("df"))
-    return rows.groupBy("term").agg(F.max("df").alias("df"))
+    conflict = F.concat(F.lit("different counts for "), F.col("term"))
+    df = F.when(F.min("df") == F.max("df"), F.max("df")).otherwise(F.raise_error(conflict))
+    return rows.groupBy("term").agg(df.alias("df"))
