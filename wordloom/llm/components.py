@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import shared_folder
+from wordloom.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,13 +15,12 @@ def components(links: DataFrame) -> DataFrame:
     links its larger neighbours, then its smaller ones, to the smallest it knows, until
     nothing changes; the number of rounds grows with the logarithm of the longest path.
     No neighbour lists are built, minima are taken before the shuffle, and each round is
-    checkpointed.
+    written to the shared folder.
     """
-    shared_folder(links.sparkSession)
     pairs = links.filter("a <> b")
-    edges = pairs.select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    ).distinct().checkpoint()
+    edges = stored(
+        pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    )
     seen = None
     while True:
         state = edges.agg(
@@ -41,13 +40,12 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = (
+        edges = stored(
             large.join(smallest, "u")
             .filter("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(smallest.withColumnRenamed("m", "v"))
             .distinct()
-            .checkpoint()
         )
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

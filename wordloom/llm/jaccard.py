@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,7 +14,8 @@ from wordloom.llm.components import components
 from wordloom.llm.shingles import mix64, shingle_hashes, word_hashes, words_of
 
 _SEGMENT = 1024
-_CLASSES = 8
+_WORDS = 8  # of 64 bits in a parity sketch
+_SKETCH = [f"s{k}" for k in range(_WORDS)]
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
@@ -28,7 +31,7 @@ def _set_key(grams: np.ndarray) -> int:
         return int(mix64(np.array([one ^ mix64(np.array([two + np.uint64(len(grams))]))[0]]))[0])
 
 
-def gram_frequencies(documents: DataFrame, size: int, bits: int = 20) -> np.ndarray:
+def gram_frequencies(documents: DataFrame, size: int, bits: int = 21) -> np.ndarray:
     """For every hash place of n-grams the number of documents that hold one, as log2.
 
     All documents count. The table has ``2 ** bits`` places of a byte, however many
@@ -38,31 +41,29 @@ def gram_frequencies(documents: DataFrame, size: int, bits: int = 20) -> np.ndar
     width = 1 << bits
 
     def count(batches):
-        total = np.zeros(width, dtype=np.int64)
+        total = np.zeros(width, dtype=np.uint32)
         for _, texts in text_slices(batches):
             for text in texts:
                 places = (shingle_set(text, size) >> np.uint64(64 - bits)).astype(np.int64)
-                total += np.bincount(places, minlength=width) if len(places) > width // 8 else 0
-                if len(places) <= width // 8:
-                    np.add.at(total, places, 1)
+                np.add.at(total, places, np.uint32(1))
         parts = total.reshape(-1, _SEGMENT)
         used = np.flatnonzero(parts.any(axis=1))
         for begin in range(0, len(used), 256):
             chosen = used[begin : begin + 256]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chosen), pa.array(list(parts[chosen]), pa.list_(pa.int64()))],
+                [pa.array(chosen), pa.array([row.astype("<u4").tobytes() for row in parts[chosen]])],
                 names=["segment", "counts"],
             )
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(_SEGMENT, dtype=np.int64)
-        for counts in group["counts"].chunks:
-            total += counts.flatten().to_numpy().reshape(-1, _SEGMENT).sum(axis=0)
+        for counts in group["counts"]:
+            total += np.frombuffer(counts.as_buffer(), dtype="<u4")
         levels = np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()
         return pa.table({"segment": group["segment"][:1], "levels": pa.array([levels], pa.binary())})
 
     sums = (
-        documents.mapInArrow(count, "segment long, counts array<long>")
+        documents.mapInArrow(count, "segment long, counts binary")
         .groupBy("segment")
         .applyInArrow(add, "segment long, levels binary")
         .toArrow()
@@ -73,12 +74,12 @@ def gram_frequencies(documents: DataFrame, size: int, bits: int = 20) -> np.ndar
     return levels.reshape(-1)
 
 
-def signatures(documents: DataFrame, size: int, percent: int, bits: int = 20) -> DataFrame:
-    """``_id, key, n, prefix, classes`` of every row of ``documents`` (``_id, text``).
+def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) -> DataFrame:
+    """``_id, key, n, prefix, s0 ... s7`` of every row of ``documents`` (``_id, text``).
 
     ``key`` identifies the set, ``n`` is its size. ``prefix`` has the rarest n-grams, as
-    many as leave too few others for an overlap that is enough; ``classes`` packs counts
-    of the n-grams in 8 classes of hashes, at most 255 each.
+    many as leave too few others for an overlap that is enough; ``s0`` to ``s7`` hold for
+    512 classes of hashes whether the number of n-grams in it is odd.
     """
     levels = documents.sparkSession.sparkContext.broadcast(
         gram_frequencies(documents, size, bits)
@@ -87,7 +88,7 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 20) ->
     def sign(batches):
         rank = levels.value.astype(np.uint64) << np.uint64(56)
         for batch, texts in text_slices(batches):
-            keys, sizes, prefixes, classes = [], [], [], []
+            keys, sizes, prefixes, sketches = [], [], [], []
             for text in texts:
                 grams = shingle_set(text, size)
                 n = len(grams)
@@ -96,24 +97,31 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 20) ->
                 )
                 length = n - -(-percent * n // 100) + 1 if n else 0
                 rarest = np.argsort(order, kind="stable")[:length]
-                counts = np.bincount((grams & np.uint64(_CLASSES - 1)).astype(np.int64), minlength=_CLASSES)
+                counts = np.bincount(
+                    (grams % np.uint64(64 * _WORDS)).astype(np.int64), minlength=64 * _WORDS
+                )
                 keys.append(np.uint64(_set_key(grams)).astype(np.int64))
                 sizes.append(n)
                 prefixes.append(grams[rarest].view(np.int64))
-                classes.append(np.minimum(counts, 255).astype(np.uint8).view("<i8")[0])
+                sketches.append(np.packbits(counts % 2 == 1).view("<i8"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     pa.array(keys, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(classes, pa.int64()),
+                    *(pa.array(column, pa.int64()) for column in np.transpose(sketches)),
                 ],
-                names=["_id", "key", "n", "prefix", "classes"],
+                names=["_id", "key", "n", "prefix", *_SKETCH],
             )
 
     schema = schema_of(
-        documents, ["_id"], key="long", n="long", prefix="array<long>", classes="long"
+        documents,
+        ["_id"],
+        key="long",
+        n="long",
+        prefix="array<long>",
+        **dict.fromkeys(_SKETCH, "long"),
     )
     return documents.mapInArrow(sign, schema)
 
@@ -127,16 +135,15 @@ def _overlap(n: Column, m: Column, bound: Column, percent: int) -> Column:
     return bound * (100 + percent) >= (n + m) * percent
 
 
-def _classes_agree(n: Column, m: Column, left: Column, right: Column, percent: int) -> Column:
-    """The suffix filter: sets split by hash classes differ at least by the differences of
-    the class sizes, which bounds the overlap of all that the prefixes leave open."""
-    apart = sum(
-        F.abs(
-            F.shiftrightunsigned(left, 8 * k).bitwiseAND(F.lit(255))
-            - F.shiftrightunsigned(right, 8 * k).bitwiseAND(F.lit(255))
-        )
-        for k in range(_CLASSES)
+def _apart(left, right) -> Column:
+    """The suffix filter's lower bound of the n-grams that only one of two sets has: every
+    one of them changes whether the count of its class is odd."""
+    return reduce(
+        Column.__add__, (F.bit_count(left(name).bitwiseXOR(right(name))) for name in _SKETCH)
     )
+
+
+def _near_enough(n: Column, m: Column, apart: Column, percent: int) -> Column:
     return (n + m - apart) * (100 + percent) >= (n + m) * 2 * percent
 
 
@@ -170,7 +177,7 @@ def _verified(
                 held[key] = grams
             return held[key]
 
-        for batch in batches:
+        for batch in _small(batches):
             kept = []
             for a, b, one, two in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "left", "right"))):
                 x, y = of(a, one), of(b, two)
@@ -188,6 +195,13 @@ def _verified(
     return rows.mapInArrow(verify, "a long, b long")
 
 
+def _small(batches, rows: int = 200):
+    """Arrow batches cut into ones of few rows, as texts are large once in Python."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def jaccard_components(
     documents: DataFrame,
     size: int = 5,
@@ -204,9 +218,9 @@ def jaccard_components(
     of their own. Other columns are not read.
 
     Linked sets share one of their rarest n-grams, so candidates meet on those. Equal sets
-    are one node from the start. Then every node is checked against one node with which it
-    shares most prefix n-grams, out of the first and the last of each n-gram; that joins
-    most of a group of near copies with as many checks as it has members. At last all
+    are one node from the start. Then, twice, every node is checked against the nearest of
+    three nodes with which it shares most prefix n-grams, out of two drawn for each n-gram;
+    that joins most of a group of near copies with as many checks as it has members. At last all
     pairs that share a prefix n-gram, pass the length, positional and suffix filters and
     are not in one component yet are checked. So no link between components is lost, and
     a group's pairs are neither listed nor checked once the group is known.
@@ -218,48 +232,85 @@ def jaccard_components(
     full = signed.filter("n > 0")
     nodes = stored(
         full.groupBy("key").agg(
-            F.min("_id").alias("_first"), F.first("n").alias("n"), F.first("classes").alias("classes")
+            F.min("_id").alias("_first"), *(F.first(c).alias(c) for c in ("n", *_SKETCH))
         )
     )
-    postings = full.select("key", "n", "classes", F.posexplode("prefix").alias("place", "gram"))
+    facts = nodes.drop("_first")
+    postings = full.select("key", "n", F.posexplode("prefix").alias("place", "gram"))
     meeting = (
         postings.groupBy("gram")
         .agg(F.min("key").alias("first"), F.max("key").alias("last"))
         .filter("first <> last")
+        .select("gram")
     )
     postings = stored(postings.join(meeting, "gram").dropDuplicates(["gram", "key"]))
 
-    # One check for every node.
-    offers = (
-        postings.select("key", F.explode(F.array("first", "last")).alias("leader"))
-        .filter("key <> leader")
-        .groupBy("key", "leader")
-        .agg(F.count(F.lit(1)).alias("common"))
-    )
-    facts = nodes.select("key", "n", "classes")
-    other = facts.toDF("leader", "m", "others")
-    chosen = (
-        offers.join(facts, "key")
-        .join(other, "leader")
-        .filter(
-            _long_enough(F.col("n"), F.col("m"), percent)
-            & _classes_agree(F.col("n"), F.col("m"), F.col("classes"), F.col("others"), percent)
+    # One check for every node, twice, out of other leaders.
+    links, checked, known = None, None, None
+    for turn in (1, 2):
+        rows = postings.select("gram", "key")
+        rows = (
+            rows.withColumn("component", F.col("key"))
+            if known is None
+            else rows.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
         )
-        .groupBy("key")
-        .agg(F.max_by("leader", F.struct("common", "leader")).alias("leader"))
-    )
-    stars = stored(
-        chosen.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
-    )
-    links = stored(_verified(stars, nodes, documents, size, percent))
+        drawn = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "component")
+        leaders = rows.groupBy("gram").agg(
+            F.min(drawn).alias("first"),
+            F.max(drawn).alias("last"),
+            F.min("component").alias("least"),
+            F.max("component").alias("greatest"),
+        )
+        leaders = leaders.filter("least <> greatest").select(
+            "gram", F.array("first", "last").alias("leaders")
+        )
+        offers = (
+            rows.join(leaders, "gram")
+            .select("key", "component", F.explode("leaders").alias("leader"))
+            .filter("component <> leader.component")
+            .groupBy("key", F.col("leader.key").alias("leader"))
+            .agg(F.count(F.lit(1)).alias("common"))
+            # A node has no more leaders than twice the n-grams of its prefix.
+            .groupBy("key")
+            .agg(F.slice(F.sort_array(F.collect_list(F.struct("common", "leader")), False), 1, 3).alias("best"))
+            .select("key", F.explode("best.leader").alias("leader"))
+        )
+        one, two = facts.alias("one"), facts.alias("two")
+        n, m = F.col("one.n"), F.col("two.n")
+        apart = _apart(lambda c: F.col(f"one.{c}"), lambda c: F.col(f"two.{c}"))
+        chosen = (
+            offers.alias("offers")
+            .join(one, F.col("offers.key") == F.col("one.key"))
+            .join(
+                two,
+                (F.col("offers.leader") == F.col("two.key"))
+                & _long_enough(n, m, percent)
+                & _near_enough(n, m, apart, percent),
+            )
+            .groupBy(F.col("offers.key").alias("key"))
+            .agg(F.max_by("offers.leader", F.struct(-apart / (n + m), "offers.leader")).alias("leader"))
+        )
+        stars = chosen.select(
+            F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")
+        ).distinct()
+        stars = stored(stars if checked is None else stars.join(checked, ["a", "b"], "left_anti"))
+        found = stored(_verified(stars, nodes, documents, size, percent))
+        links = found if links is None else links.unionByName(found)
+        checked = stars if checked is None else checked.unionByName(stars)
+        known = stored(components(links)).withColumnRenamed("node", "key")
 
     # All that is left between components.
-    known = stored(components(links)).withColumnRenamed("node", "key")
-    rows = postings.join(known, "key", "left").select(
-        "gram", "key", "n", "classes", "place", F.coalesce("component", "key").alias("component")
+    rows = postings.join(known, "key", "left").withColumn(
+        "component", F.coalesce("component", "key")
+    )
+    open_ = (
+        rows.groupBy("gram")
+        .agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
+        .filter("least <> greatest")
+        .select("gram")
     )
+    rows = rows.join(open_, "gram").join(facts.drop("n"), "key")
     one, two = rows.alias("one"), rows.alias("two")
-    n, m = F.col("one.n"), F.col("two.n")
     i, j = F.col("one.place"), F.col("two.place")
     ahead = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
     pairs = one.join(
@@ -269,9 +320,9 @@ def jaccard_components(
         & (F.col("one.component") != F.col("two.component"))
         & _long_enough(n, m, percent)
         & _overlap(n, m, ahead, percent)
-        & _classes_agree(n, m, F.col("one.classes"), F.col("two.classes"), percent),
+        & _near_enough(n, m, apart, percent),
     ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
-    pairs = stored(pairs.distinct().join(stars, ["a", "b"], "left_anti"))
+    pairs = stored(pairs.distinct().join(checked, ["a", "b"], "left_anti"))
     links = links.unionByName(_verified(pairs, nodes, documents, size, percent))
     found = stored(components(links)).withColumnRenamed("node", "key")
 
