@@ -75,11 +75,12 @@ def gram_frequencies(documents: DataFrame, size: int, bits: int = 21) -> np.ndar
 
 
 def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) -> DataFrame:
-    """``_id, key, n, prefix, s0 ... s7`` of every row of ``documents`` (``_id, text``).
+    """``_id, key, n, prefix, wide, s0 ... s7`` of every row of ``documents`` (``_id, text``).
 
     ``key`` identifies the set, ``n`` is its size. ``prefix`` has the rarest n-grams, as
     many as leave too few others for an overlap that is enough; ``s0`` to ``s7`` hold for
-    512 classes of hashes whether the number of n-grams in it is odd.
+    512 classes of hashes whether the number of n-grams in it is odd, ``wide`` for about as
+    many classes as there are n-grams if those are more than 512.
     """
     levels = documents.sparkSession.sparkContext.broadcast(
         gram_frequencies(documents, size, bits)
@@ -88,7 +89,7 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) ->
     def sign(batches):
         rank = levels.value.astype(np.uint64) << np.uint64(56)
         for batch, texts in text_slices(batches):
-            keys, sizes, prefixes, sketches = [], [], [], []
+            keys, sizes, prefixes, sketches, wide = [], [], [], [], []
             for text in texts:
                 grams = shingle_set(text, size)
                 n = len(grams)
@@ -104,15 +105,17 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) ->
                 sizes.append(n)
                 prefixes.append(grams[rarest].view(np.int64))
                 sketches.append(np.packbits(counts % 2 == 1).view("<i8"))
+                wide.append(_parities(grams, 1 << n.bit_length()) if n > 64 * _WORDS else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
                     pa.array(keys, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(wide, pa.binary()),
                     *(pa.array(column, pa.int64()) for column in np.transpose(sketches)),
                 ],
-                names=["_id", "key", "n", "prefix", *_SKETCH],
+                names=["_id", "key", "n", "prefix", "wide", *_SKETCH],
             )
 
     schema = schema_of(
@@ -121,6 +124,7 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) ->
         key="long",
         n="long",
         prefix="array<long>",
+        wide="binary",
         **dict.fromkeys(_SKETCH, "long"),
     )
     return documents.mapInArrow(sign, schema)
@@ -147,6 +151,37 @@ def _near_enough(n: Column, m: Column, apart: Column, percent: int) -> Column:
     return (n + m - apart) * (100 + percent) >= (n + m) * 2 * percent
 
 
+def _parities(grams: np.ndarray, classes: int) -> bytes:
+    counts = np.bincount((grams % np.uint64(classes)).astype(np.int64), minlength=classes)
+    return np.packbits(counts % 2 == 1).tobytes()
+
+
+def _plausible(pairs: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that the suffix filter leaves if it looks at as many classes as
+    long sets have n-grams. Of two sketches the larger is folded to the other's size."""
+
+    def keep(batches):
+        for batch in batches:
+            kept = []
+            columns = (batch.column(c).to_pylist() for c in ("n", "m", "left", "right"))
+            for n, m, left, right in zip(*columns):
+                if left is None or right is None:
+                    kept.append(True)
+                    continue
+                one, two = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+                size = min(len(one), len(two))
+                one = np.bitwise_xor.reduce(one.reshape(-1, size))
+                two = np.bitwise_xor.reduce(two.reshape(-1, size))
+                apart = int(np.bitwise_count(one ^ two).sum())
+                kept.append((n + m - apart) * (100 + percent) >= (n + m) * 2 * percent)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    left = wide.toDF("a", "n", "left")
+    right = wide.toDF("b", "m", "right")
+    rows = pairs.join(left, "a", "left").join(right, "b", "left")
+    return rows.select("a", "b", "n", "m", "left", "right").mapInArrow(keep, "a long, b long")
+
+
 def _verified(
     pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int
 ) -> DataFrame:
@@ -236,6 +271,8 @@ def jaccard_components(
         )
     )
     facts = nodes.drop("_first")
+    long_sets = full.filter("wide is not null").select("key", "n", "wide")
+    long_sets = stored(long_sets.dropDuplicates(["key"]))
     postings = full.select("key", "n", F.posexplode("prefix").alias("place", "gram"))
     meeting = (
         postings.groupBy("gram")
@@ -293,7 +330,8 @@ def jaccard_components(
         stars = chosen.select(
             F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")
         ).distinct()
-        stars = stored(stars if checked is None else stars.join(checked, ["a", "b"], "left_anti"))
+        stars = stars if checked is None else stars.join(checked, ["a", "b"], "left_anti")
+        stars = stored(_plausible(stars, long_sets, percent))
         found = stored(_verified(stars, nodes, documents, size, percent))
         links = found if links is None else links.unionByName(found)
         checked = stars if checked is None else checked.unionByName(stars)
@@ -322,7 +360,8 @@ def jaccard_components(
         & _overlap(n, m, ahead, percent)
         & _near_enough(n, m, apart, percent),
     ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
-    pairs = stored(pairs.distinct().join(checked, ["a", "b"], "left_anti"))
+    pairs = pairs.distinct().join(checked, ["a", "b"], "left_anti")
+    pairs = stored(_plausible(pairs, long_sets, percent))
     links = links.unionByName(_verified(pairs, nodes, documents, size, percent))
     found = stored(components(links)).withColumnRenamed("node", "key")
 
@@ -340,3 +379,36 @@ def jaccard_components(
             F.coalesce("component_id", "_id").alias("component_id"),
         )
     )
+
+
+def one_of_each(
+    documents: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``documents``, whole, without those that are linked to a smaller id.
+
+    Of rows that repeat id and text one stays; rows that repeat an id with another text
+    stay or go together. Only rows that may have to go are shuffled with their texts.
+    """
+    found = stored(jaccard_components(documents, size, percent, id_column, text_column))
+    ids = found.groupBy(id_column).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(~F.col("component_id").eqNullSafe(F.col(id_column))).alias("_goes"),
+    )
+    ids = stored(ids.filter("_goes or _rows > 1"))
+    touched = membership(ids, id_column)(id_column)
+    marked = documents.withColumn("_touched", touched)
+    same = F.col(f"_r.{id_column}").eqNullSafe(F.col(f"_i.{id_column}"))
+    looked_at = marked.filter("_touched").alias("_r").join(ids.alias("_i"), same, "left")
+    columns = [F.col(f"_r.{c}").alias(c) for c in documents.columns]
+    stays = looked_at.filter("not coalesce(_i._goes, false)").select(
+        *columns, (F.coalesce("_i._rows", F.lit(1)) > 1).alias("_repeats")
+    )
+    once = stays.filter("_repeats").dropDuplicates([id_column, text_column])
+    return reduce(
+        DataFrame.unionByName,
+        [x.select(*documents.columns) for x in (marked.filter("not _touched"), stays.filter("not _repeats"), once)],
+    )

@@ -258,6 +258,21 @@ def score_toxicity(
     return rows.mapInArrow(score, schema)
 
 
+def remove_toxic(documents: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``documents``, whole, whose text is not predicted to be toxic.
+
+    Null and empty texts stay, as do repeated rows. No shuffle.
+    """
+
+    def keep(batches):
+        scanner = Scanner(model.lexicon)
+        for batch, texts in text_slices(batches, text_column):
+            facts = (clause_facts(scanner.clauses(text)) for text in texts)
+            yield batch.filter(pa.array([model.probability(f) < 0.5 for f in facts], pa.bool_()))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def held_out(id_column: str = "doc_id"):
     """Whether the fold of an id, crc32 of its text modulo 5, is kept from training."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(False))
