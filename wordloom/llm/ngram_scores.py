@@ -164,7 +164,7 @@ def backoff_scores(
             level = np.where(seen, size, level)
         reached = np.minimum(block.place + 1, order)
         documents_in = len(block.sizes)
-        sums = np.bincount(block.document, weights=best, minlength=documents_in)
+        sums = np.bincount(block.document, weights=best, minlength=documents_in).astype(float)
         backed = np.bincount(block.document, weights=level < reached, minlength=documents_in)
         with np.errstate(divide="ignore", invalid="ignore"):
             mean = sums / block.sizes
