@@ -52,8 +52,15 @@ from wordloom.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: A Spark setting, unset by default: partitions to deal the documents out to, for a table
+#: that is one small file.
+PARTITIONS = "spark.wordloom.documentPartitions"
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return document_table(spark, f"{folder}/documents.parquet")
+    partitions = spark.conf.get(PARTITIONS, None)
+    path = f"{folder}/documents.parquet"
+    return document_table(spark, path, partitions=int(partitions) if partitions else None)
 
 
 # Words
