@@ -113,7 +113,7 @@ def term_frequency_dense(
         # Documents without any of the terms come from their ids alone.
         ids = corpus.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf"))
         found = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
-        rows = counts.unionByName(ids.distinct()).groupBy("doc_id").agg(found.alias("found"))
+        rows = counts.unionByName(ids).groupBy("doc_id").agg(found.alias("found"))
     rows = rows.select("doc_id", "found", F.explode(listed).alias("block"))
     missing = F.transform(
         F.array_except("block", "found.term"),
