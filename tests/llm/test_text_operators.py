@@ -18,7 +18,7 @@ from wordloom.llm.mixing import rake, sample_mix
 from wordloom.llm.ngram_scores import backoff_scores
 from wordloom.llm.packing import Capacity
 from wordloom.llm.quality import clean_lines
-from wordloom.llm.toxicity import Model, remove_toxic, score_toxicity, train
+from wordloom.llm.toxicity import Model, Scanner, remove_toxic, score_toxicity, train
 
 
 @pytest.fixture(scope="module")
@@ -105,6 +105,28 @@ def test_clauses_and_scores_of_odd_rows(docs):
     assert score_toxicity(docs(*ODD).limit(0), model).count() == 0
 
 
+def test_insults_and_threats_are_patterns_of_clauses():
+    def weight(text, lone=1.0):
+        return sum(w for _, _, w in Scanner({"fool": 3.0, "fool-": 2.0}, lone).clauses(text))
+
+    # Words that are harmless alone.
+    for text in ("You will pay for this", "I will make you suffer", "We are going to find you",
+                 "They are a waste of space", "you're nothing", "Trash is what you are",
+                 "Ihr seid wertlos", "tu vas le regretter", "vas a morir, tú vas a sufrir"):
+        assert weight(text) > 0 and weight(text, lone=0.0) > 0, text
+    for text in ("Will the firm pay", "a waste of space", "We will find a way", "You pay", "nothing will do"):
+        assert weight(text) == 0, text
+    # A target after the hit counts as one before it.
+    assert weight("fools, all of you") == weight("you fools") == pytest.approx(3.0)
+    assert weight("fools, all of you", lone=0.0) == pytest.approx(3.0)
+    assert weight("those plain fools of yours") == pytest.approx(3.0)
+    assert weight("a fool") == 3.0 and weight("a fool", lone=0.0) == 0
+    assert weight("kill") == 1.0 and weight("kill you") == pytest.approx(2.0)
+    assert weight("he said fools, all of you") == pytest.approx(0.6 * 1.5 * 2.0)
+    assert weight("You are not worthless") == pytest.approx(0.4 * 1.5 * 2.0)
+    assert weight("a fool. You are well") == 3.0
+
+
 def test_training_finds_words_and_stems(spark, docs):
     pick = random.Random(5)
     texts, labels = [], []

@@ -28,11 +28,13 @@ class Model:
     """Weights of words and stems (``stem-``), and of a document's clauses.
 
     ``calibration`` weighs 1, the log of the summed clause weights, the largest clause
-    weight and the log of the number of clauses with a hit.
+    weight and the log of the number of clauses with a hit. ``lone`` is the part of its
+    weight that a hit outside of a clause pattern has.
     """
 
     lexicon: dict[str, float]
     calibration: tuple[float, float, float, float]
+    lone: float = 1.0
 
     def probability(self, facts: tuple[float, float, float]) -> float:
         value = self.calibration[0] + sum(w * x for w, x in zip(self.calibration[1:], facts))
@@ -40,15 +42,23 @@ class Model:
 
 
 class Scanner(dict):
-    """Reads texts clause by clause; maps words to symbols, hits to numbers from ``HIT``."""
+    """Reads texts clause by clause; maps words to symbols, those with a weight to numbers
+    from ``HIT``, whose classes are in ``kinds``."""
 
-    def __init__(self, lexicon: dict[str, float]):
+    def __init__(self, lexicon: dict[str, float], lone: float = 1.0):
         super().__init__()
         self.lexicon = lexicon
+        self.lone = lone
         self.weights: list[float] = []
+        self.kinds: list[int] = []
         self.machine = grammar.clause_grammar().steps
         self._fixed = (
-            dict.fromkeys(".!?;:\n", grammar.BREAK)
+            dict.fromkeys(grammar.COPULAS, grammar.COPULA)
+            | dict.fromkeys(grammar.INTENTS, grammar.INTENT)
+            | dict.fromkeys(grammar.SCORNS, grammar.SCORN)
+            | dict.fromkeys(grammar.SUFFERS, grammar.SUFFER)
+            | dict.fromkeys(grammar.PURSUITS, grammar.PURSUE)
+            | dict.fromkeys(".!?;:\n", grammar.BREAK)
             | dict.fromkeys(grammar.TARGETS, grammar.TARGET)
             | dict.fromkeys(grammar.NEGATIONS, grammar.NEGATION)
             | dict.fromkeys(grammar.REPORTS, grammar.REPORT)
@@ -56,8 +66,7 @@ class Scanner(dict):
 
     def __missing__(self, word: str) -> int:
         if len(self) > 500_000:
-            self.clear()
-            self.weights.clear()
+            self._forget()
         # The longest entry that fits a word tells.
         weight = next(
             (self.lexicon[f] for f in reversed(_features(word)) if f in self.lexicon), None
@@ -66,33 +75,47 @@ class Scanner(dict):
             weight = 1.0
         if weight is not None and weight > 0:
             self.weights.append(weight)
+            self.kinds.append(grammar.HARM if word in grammar.THREATS else grammar.HIT)
             symbol = grammar.HIT + len(self.weights) - 1
         else:
             symbol = self._fixed.get(word, grammar.OTHER)
         self[word] = symbol
         return symbol
 
+    def _forget(self) -> None:
+        self.clear()
+        self.weights.clear()
+        self.kinds.clear()
+
     def clauses(self, text: str) -> list[tuple[int, int, float]]:
         """Begin, end and weight of the clauses with a hit."""
         lower = text.lower()
         if len(self) > 400_000:
-            self.clear()
-            self.weights.clear()
-        if max(map(self.__getitem__, _TOKEN.findall(lower)), default=0) < grammar.HIT:
+            self._forget()
+        if max(map(self.__getitem__, _TOKEN.findall(lower)), default=0) < grammar.SCORN:
             return []
         found, state, total, begin, end = [], 0, 0.0, None, 0
+        last, counted = 0.0, 0.0  # the last hit and the part of it that is in the total
         for match in _TOKEN.finditer(lower):
             symbol = self[match.group()]
             if symbol == grammar.BREAK:
                 if total > 0:
                     found.append((begin, end, total))
-                state, total, begin = 0, 0.0, None
+                state, total, begin, last, counted = 0, 0.0, None, 0.0, 0.0
                 continue
             begin = match.start() if begin is None else begin
             end = match.end()
-            state, _, factor = self.machine[state, min(symbol, grammar.HIT)]
+            weight = grammar.ACCEPTED
             if symbol >= grammar.HIT:
-                total += factor * self.weights[symbol - grammar.HIT]
+                weight = self.weights[symbol - grammar.HIT]
+                symbol = self.kinds[symbol - grammar.HIT]
+            state, passed, factor = self.machine[state, symbol]
+            if passed == grammar.AFTER:
+                total += (factor - counted) * last
+                last = 0.0
+            elif passed == grammar.HIT or passed == grammar.PATTERN:
+                last, counted = factor * weight, self.lone if passed == grammar.HIT else 1.0
+                total += counted * last
         if total > 0:
             found.append((begin, end, total))
         return found
@@ -142,7 +165,11 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> tuple[float, ..
 
 
 def train(
-    documents: DataFrame, labels: DataFrame, fit_rows: int = 20_000, entries: int = 5_000
+    documents: DataFrame,
+    labels: DataFrame,
+    fit_rows: int = 20_000,
+    entries: int = 5_000,
+    lone: float = 1.0,
 ) -> Model:
     """A model from ``labels`` (``doc_id, toxic``) of ``documents`` (``doc_id, text``).
 
@@ -151,7 +178,8 @@ def train(
     counts in how many toxic and clean documents each word and each beginning of a word
     occurs; ``entries`` with the strongest evidence beyond chance, given how many were
     tried, and mostly in toxic documents are candidates. Words are then counted for their
-    longest candidate only, and what still stands becomes the lexicon.
+    longest candidate only, and what still stands becomes the lexicon. With ``lone`` 0
+    only clause patterns count, hits by themselves do not.
     """
     chosen = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -169,7 +197,7 @@ def train(
     sizes = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sum(n for label, n in sizes.items() if label)
     if not clean or not toxic:
-        return Model({}, (-3.0, 1.0, 0.5, 0.0))
+        return Model({}, (-3.0, 1.0, 0.5, 0.0), lone)
 
     def strongest(counts: DataFrame, tried: int) -> list:
         """The entries worth keeping, at most ``entries`` rows on the driver."""
@@ -204,7 +232,7 @@ def train(
     }
 
     def measure(batches):
-        scanner = Scanner(lexicon)
+        scanner = Scanner(lexicon, lone)
         for batch, texts in text_slices(batches):
             facts = [clause_facts(scanner.clauses(text)) for text in texts]
             yield pa.RecordBatch.from_arrays(
@@ -216,7 +244,7 @@ def train(
         measure, "toxic int, total double, largest double, number double"
     ).toArrow()
     x = np.column_stack([measured[c].to_numpy() for c in ("total", "largest", "number")])
-    return Model(lexicon, _fit(x, (measured["toxic"].to_numpy() > 0).astype(float)))
+    return Model(lexicon, _fit(x, (measured["toxic"].to_numpy() > 0).astype(float)), lone)
 
 
 def score_toxicity(
@@ -224,15 +252,16 @@ def score_toxicity(
 ) -> DataFrame:
     """``doc_id, score, predicted, clauses`` for every row of ``documents``.
 
-    Words are read as symbols (insult or threat with a weight, target, negation, reported
-    speech) and each clause runs through the composed transducers; ``clauses`` has begin,
+    Words are read as symbols of their classes, those of the lexicon and verbs of harm with
+    a weight, and each clause runs through the composed transducers of threats, insults,
+    negation, reported speech and targets; ``clauses`` has begin,
     end (in characters) and weight of every clause with a hit. A null or empty text has no
     clauses and scores as such; repeated rows and null ids are kept; other columns are not
     read. No shuffle.
     """
 
     def score(batches):
-        scanner = Scanner(model.lexicon)
+        scanner = Scanner(model.lexicon, model.lone)
         for batch, texts in text_slices(batches, text_column):
             found = [scanner.clauses(text) for text in texts]
             scores = [model.probability(clause_facts(clauses)) for clauses in found]
@@ -265,7 +294,7 @@ def remove_toxic(documents: DataFrame, model: Model, text_column: str = "text")
     """
 
     def keep(batches):
-        scanner = Scanner(model.lexicon)
+        scanner = Scanner(model.lexicon, model.lone)
         for batch, texts in text_slices(batches, text_column):
             facts = (clause_facts(scanner.clauses(text)) for text in texts)
             yield batch.filter(pa.array([model.probability(f) < 0.5 for f in facts], pa.bool_()))
