@@ -252,6 +252,14 @@ def test_backoff_scores_equal_brute_force(docs, order):
     assert backoff_scores(docs(*ODD).limit(0)).count() == 0
 
 
+def test_registered_scores_tell_shuffled_words(spark, tmp_path):
+    texts = [(1, "a b c"), (2, "a b c"), (3, "x b d"), (4, "x b d"), (5, "a b d")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.lm_scoring(spark, str(tmp_path)).collect()
+    # Both bigrams of the last text are known, its trigram is not.
+    assert {r["doc_id"]: r["n_backed_off"] for r in found} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+
+
 # Fixity
 
 

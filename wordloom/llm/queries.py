@@ -96,7 +96,7 @@ def warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return backoff_scores(table(spark, folder, "documents"))
+    return backoff_scores(table(spark, folder, "documents"), order=3)
 
 
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
