@@ -182,6 +182,27 @@ def test_pages_of_a_host_agree(spark):
     assert extract_pages(frame).count() == len(rows) and extract_pages(frame.limit(0)).count() == 0
 
 
+def test_no_part_of_an_article_is_lost(spark):
+    story = "the story goes on and on " * 20
+    # Pages of template B have the path of template A as a teaser.
+    one, two = "<div class='a'><p>{}</p></div>", "<div class='a'><p>teaser</p></div><section class='b'><p>{}</p></section>"
+    rows = [(n, f"http://a.org/{n}", (one if n < 6 else two).format(f"{n} {story}")) for n in range(10)]
+    parts = "<div class=page><div class=lead><p>{}</p></div><div class=body><p>{}</p></div><div class=x>no</div></div>"
+    rows += [(20 + n, f"http://c.org/{n}", parts.format(f"lead {n} " * 30, story * 2)) for n in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract_pages(frame).collect()}
+    for n in range(10):
+        assert found[n] == f"{n} {story}".strip()
+    for n in range(4):
+        assert found[20 + n] == f"{f'lead {n} ' * 30}".strip() + "\n" + (story * 2).strip()
+    named = (
+        "<article><div class='entry-header'><p>Heading</p></div><h2 id='related-work'>Related work</h2>"
+        "<h3 id='login'>Login</h3><p>Text of it.</p><div class='related-posts'><a href=/>Another one</a></div>"
+        "<div class='related'>More</div></article>"
+    )
+    assert main_text(read_page(named), []) == "Heading\nRelated work\nLogin\nText of it."
+
+
 # Mixing
 
 

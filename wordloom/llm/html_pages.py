@@ -1,8 +1,9 @@
 """Main text of web pages: containers are scored per page, agreed on per host.
 
 Every page names the container that holds most of its running text by a generalised path
-of tags and classes. Pages of a host vote, weighted by text, and the paths that win are
-then read from every page of the host.
+of tags and classes. Pages of a host vote, weighted by text. Pages that have the same of
+the winning paths are of one template; they vote again which of these holds the article,
+and which containers beside it belong to it.
 """
 
 from __future__ import annotations
@@ -51,6 +52,9 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(
     r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
 )
+_SLUGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+_DENSE = 0.5  # the share of linked text from which a named element is left out
+_BESIDE = 0.1  # the share of a page's running text from which a container counts
 _DIGITS = re.compile(r"\d+")
 
 
@@ -62,6 +66,10 @@ class Node:
     path: str
     parent: Node | None
     dropped: bool
+    named: bool = False  # a part of its name says that it is no part of an article
+    shadowed: bool = False  # it, or an element around it, is named so
+    length: int = 0  # of the text within, if it is shadowed
+    linked: int = 0
 
 
 @dataclass
@@ -93,9 +101,21 @@ def _is_dropped(tag: str, attributes: dict[str, str], parent: Node | None) -> bo
         return True
     if re.search(r"display:\s*none", attributes.get("style", "")):
         return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    return not _DROPPED_NAMES.isdisjoint(_names(tag, attributes).lower().split())
+
+
+def _names(tag: str, attributes: dict[str, str]) -> str:
+    """Classes and id; the id of a heading or paragraph is a slug of its text."""
+    slug = "" if tag in _SLUGS else attributes.get("id", "")
+    return f"{attributes.get('class', '')} {slug}"
+
+
+def _is_named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether a part of a class or of the id is one of the names."""
+    if tag in ("html", "body", "article", "main", "header") or tag in _SLUGS:
+        return False
     # Words of camelCase and of names joined by - or _.
-    words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names).lower())
+    words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", _names(tag, attributes)).lower())
     return not _DROPPED_NAMES.isdisjoint(words)
 
 
@@ -124,6 +144,10 @@ def read_page(html: str) -> Page:
             text = " ".join("".join(pieces).split())
             if text:
                 page.blocks.append((node, text, linked))
+                if node is not None and node.shadowed:
+                    for outer in _ancestors(node):
+                        outer.length += len(text)
+                        outer.linked += linked
             pieces, linked = [], 0
 
     for match in _TOKEN.finditer(html):
@@ -162,16 +186,38 @@ def read_page(html: str) -> Page:
         if match["attributes"].endswith("/") and tag not in ("p", "div", "section", "article", "li"):
             continue
         path = _step(tag, attributes)
+        named = _is_named(tag, attributes)
         node = Node(
             tag,
             f"{node.path}>{path}" if node else path,
             node,
             _is_dropped(tag, attributes, node),
+            named,
+            named or (node is not None and node.shadowed),
         )
     flush()
     return page
 
 
+def _running(page: Page) -> list[tuple[Node, float]]:
+    """Blocks that can be of an article, with the length of their text outside of links.
+
+    Elements named as something else by a part of their names do not count, unless a page
+    has no other running text; then those with much linked text do not.
+    """
+    blocks = [
+        (node, float(len(text) - linked))
+        for node, text, linked in page.blocks
+        if node is not None and not node.dropped and len(text) > linked
+    ]
+    plain = [(node, weight) for node, weight in blocks if not node.shadowed]
+    return plain or [(n, w) for n, w in blocks if not any(map(_is_dense, _ancestors(n)))]
+
+
+def _is_dense(node: Node) -> bool:
+    return node.named and node.linked >= _DENSE * node.length
+
+
 def container_scores(page: Page) -> dict[str, float]:
     """Running text per container path: all of it for the container of a block, half for
     the one around that, and so on; text in links and in dropped elements is not counted.
@@ -179,10 +225,7 @@ def container_scores(page: Page) -> dict[str, float]:
     Within ``article`` or ``main`` that element is the container.
     """
     scores: dict[str, float] = {}
-    for node, text, linked in page.blocks:
-        weight = float(max(0, len(text) - linked))
-        if node is None or node.dropped or not weight:
-            continue
+    for node, weight in _running(page):
         semantic = [x for x in _ancestors(node) if x.tag in ("article", "main")]
         if semantic:
             scores[semantic[-1].path] = scores.get(semantic[-1].path, 0.0) + weight
@@ -196,20 +239,73 @@ def container_scores(page: Page) -> dict[str, float]:
     return scores
 
 
+def beside(page: Page, paths: list[str]) -> dict[str, set[str]]:
+    """For each of some container paths the paths of containers with the same parent that
+    hold at least a tenth of the page's running text; none beside ``article`` or ``main``."""
+    inside: dict[str, float] = {}
+    parents: dict[str, str] = {}
+    total = 0.0
+    wanted = set(paths)
+    for node, weight in _running(page):
+        total += weight
+        # Paths repeat, but a block counts once for each.
+        for path, outer in {x.path: x for x in _ancestors(node) if x.tag not in _LEAVES}.items():
+            inside[path] = inside.get(path, 0.0) + weight
+            if outer.parent is not None:
+                parents[path] = outer.parent.path
+            if path in wanted and outer.tag in ("article", "main"):
+                wanted.discard(path)
+    large = [p for p, weight in inside.items() if weight >= _BESIDE * total and p in parents]
+    return {
+        path: {p for p in large if p != path and parents[p] == parents[path]}
+        for path in wanted
+        if path in parents
+    }
+
+
 def best_path(scores: dict[str, float]) -> str | None:
     return min(scores, key=lambda path: (-scores[path], path)) if scores else None
 
 
-def main_text(page: Page, winners: list[str]) -> str:
-    """The blocks within the first winning path that the page has, else within the page's
-    own best container, else those outside of any element."""
+def template_of(scores: dict[str, float], winners: list[str]) -> int:
+    """The winning paths that a page has, as bits."""
+    return sum(1 << n for n, path in enumerate(winners) if scores.get(path))
+
+
+def main_text(
+    page: Page, winners: list[str], templates: dict[int, tuple[str, list[str]]] | None = None
+) -> str:
+    """The blocks within the container of the page's template and those beside it, else
+    within the winning path with most text, else within the page's own best container, else
+    those outside of any element.
+
+    ``templates`` has for the winning paths of a page (bits) that container and the paths
+    beside it. Elements with a part of their names that says they are no part of an article
+    are left out within the container if at least half of their text is in links.
+    """
     scores = container_scores(page)
-    path = next((p for p in winners if scores.get(p)), None) or best_path(scores)
+    path, more = (templates or {}).get(template_of(scores, winners), (None, []))
+    if path is None:
+        path = best_path({p: scores[p] for p in winners if scores.get(p)}) or best_path(scores)
+        more = list(beside(page, [path]).get(path, ())) if path else []
+    read = {path, *more}
+    only_named = all(node.shadowed for node, _ in _running(page))
+
+    def is_kept(node: Node) -> bool:
+        found = False
+        for x in _ancestors(node):
+            if x.named and (_is_dense(x) or (found and not only_named)):
+                return False
+            if x.path in read:
+                if x.named and not only_named:
+                    return False
+                found = True
+        return found
+
     kept = [
         text
         for node, text, _ in page.blocks
-        if (path is None and node is None)
-        or (node and not node.dropped and any(x.path == path for x in _ancestors(node)))
+        if (path is None and node is None) or (node and not node.dropped and is_kept(node))
     ]
     return "\n".join(kept)
 
@@ -219,7 +315,9 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
     url, html``).
 
     ``container`` is the leading path of the page's host; paths with at least ``share`` of
-    a host's votes win, at most ``1 / share`` of them, the strongest first. The votes are
+    a host's votes win, at most ``1 / share`` of them, the strongest first. Pages of a host
+    with the same winning paths vote which of them is read from these pages; containers
+    beside it that hold a tenth of the running text on half of these pages are read too. The votes are
     summed before they are shuffled, one row per task, host and path, so a host with a
     third of the pages is no larger than another. A null html gives an empty text, a null
     url is a host of its own, repeated rows are kept; other columns are not read.
@@ -258,10 +356,72 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
         .agg(F.transform(ranked, lambda x: x["path"]).alias("winners"))
     )
 
+    def vote_again(batches):
+        for batch, texts in text_slices(batches):
+            found: dict[tuple[str, int, str, str], list[float]] = {}
+            names = batch.column("_host").to_pylist()
+            for name, html, paths in zip(names, texts, batch.column("winners").to_pylist()):
+                page = read_page(html)
+                scores = container_scores(page)
+                template = template_of(scores, paths or [])
+                if not template:
+                    continue
+                present = [p for p in paths if scores.get(p)]
+                best = best_path({p: scores[p] for p in present})
+                # The path beside none is the container itself.
+                rows_of = [(best, "", scores[best])] + [
+                    (p, other, 0.0) for p, others in beside(page, present).items() for other in others
+                ]
+                for path, other, weight in [("", "", 0.0), *rows_of]:
+                    sums = found.setdefault((name, template, path, other), [0.0, 0])
+                    sums[0] += weight
+                    sums[1] += 1
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array(column, kind) for column, kind in zip(
+                            zip(*found), (pa.string(), pa.int64(), pa.string(), pa.string()))),
+                        pa.array([v[0] for v in found.values()], pa.float64()),
+                        pa.array([v[1] for v in found.values()], pa.int64()),
+                    ],
+                    names=["_host", "template", "path", "other", "votes", "pages"],
+                )
+
+    again = stored(
+        rows.select("_host", "text")
+        .join(winners, "_host")
+        .mapInArrow(vote_again, "_host string, template long, path string, other string, votes double, pages long")
+        .groupBy("_host", "template", "path", "other")
+        .agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+    )
+    key = ["_host", "template"]
+    leaders = again.filter("path <> '' and other = ''").groupBy(*key).agg(
+        F.min(F.struct((-F.col("votes")).alias("v"), "path"))["path"].alias("path")
+    )
+    sizes = again.filter("path = ''").select(*key, F.col("pages").alias("size"))
+    others = (
+        again.filter("other <> ''")
+        .join(sizes, key)
+        .filter("2 * pages >= size")  # at most twenty for a path, as each has a tenth
+        .groupBy(*key, "path")
+        .agg(F.sort_array(F.collect_list("other")).alias("more"))
+    )
+    templates = leaders.join(others, [*key, "path"], "left").groupBy("_host").agg(
+        F.collect_list(F.struct("template", "path", "more")).alias("templates")
+    )
+    winners = stored(winners.join(templates, "_host", "left"))
+
     def extract(batches):
         for batch, texts in text_slices(batches):
             winning = batch.column("winners").to_pylist()
-            found = [main_text(read_page(html), paths or []) for html, paths in zip(texts, winning)]
+            plans = [
+                {t["template"]: (t["path"], t["more"] or []) for t in plan or []}
+                for plan in batch.column("templates").to_pylist()
+            ]
+            found = [
+                main_text(read_page(html), paths or [], plan)
+                for html, paths, plan in zip(texts, winning, plans)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id"),
@@ -277,5 +437,5 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
         pages, ["page_id", "url"], text="string", n_chars="long", container="string"
     )
     # Spark broadcasts the winners of few hosts and shuffles the pages for many.
-    joined = rows.join(winners, "_host", "left").select("page_id", "url", "text", "winners")
+    joined = rows.join(winners, "_host", "left").select("page_id", "url", "text", "winners", "templates")
     return joined.mapInArrow(extract, schema)
