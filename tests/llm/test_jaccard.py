@@ -87,6 +87,19 @@ def test_one_of_each_keeps_columns_and_one_row(docs):
         (2, text), (5, ""), (6, ""), (9, rows[3][1])]
 
 
+def test_one_of_each_looks_at_rows_with_null_or_repeated_ids(docs):
+    base = [f"w{n}" for n in range(60)]
+    near = " ".join([*base[:59], "other"])
+    rows = [(1, " ".join(base)), (None, near), (None, "a clean text without any copy at all"), (7, near),
+            (7, "another clean text that has the same id"), (None, None), (None, None), (None, "")]
+    # Near copies that all have null ids.
+    second = [f"v{n}" for n in range(60)]
+    rows += [(None, " ".join(second)), (None, " ".join([*second[:59], "other"]))]
+    found = sorted((r["doc_id"] or 0, r["text"] or "") for r in one_of_each(docs(*rows)).collect())
+    assert found[:-1] == [(0, ""), (0, ""), (0, rows[2][1]), found[3], (1, rows[0][1])]
+    assert found[3][1] in (rows[8][1], rows[9][1]) and found[-1] == (7, rows[4][1])
+
+
 def test_components_of_paths_and_rings(spark):
     links = [(n, n + 1) for n in range(40)] + [(100 + n, 100 + (n + 1) % 7) for n in range(7)] + [(5, 5)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))

@@ -388,27 +388,42 @@ def one_of_each(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """The rows of ``documents``, whole, without those that are linked to a smaller id.
+    """The rows of ``documents``, whole, one of each group of linked texts.
 
-    Of rows that repeat id and text one stays; rows that repeat an id with another text
-    stay or go together. Only rows that may have to go are shuffled with their texts.
+    Rows are told apart by a key of id and text, so rows that repeat an id, or have none,
+    stay or go each on their own. Of a component the row with the smallest id stays (null
+    ids come last, of equal ids the smallest hash of the text); of rows that repeat id and
+    text one. Only rows that may have to go are shuffled with their texts.
     """
-    found = stored(jaccard_components(documents, size, percent, id_column, text_column))
-    ids = found.groupBy(id_column).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(~F.col("component_id").eqNullSafe(F.col(id_column))).alias("_goes"),
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    # Null and empty texts are linked with nothing and are not the same text.
+    key = F.concat_ws(
+        "|",
+        F.sha2(F.concat_ws("|", text_column, F.col(text_column).isNull().cast("string")), 256),
+        F.coalesce(F.col(id_column).cast("string"), F.lit("")),
+        F.col(id_column).isNull().cast("string"),
+    )
+    keyed = documents.select(
+        F.struct(
+            F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), key.alias("key")
+        ).alias("_key"),
+        text.alias("_text"),
     )
-    ids = stored(ids.filter("_goes or _rows > 1"))
-    touched = membership(ids, id_column)(id_column)
-    marked = documents.withColumn("_touched", touched)
-    same = F.col(f"_r.{id_column}").eqNullSafe(F.col(f"_i.{id_column}"))
-    looked_at = marked.filter("_touched").alias("_r").join(ids.alias("_i"), same, "left")
-    columns = [F.col(f"_r.{c}").alias(c) for c in documents.columns]
-    stays = looked_at.filter("not coalesce(_i._goes, false)").select(
-        *columns, (F.coalesce("_i._rows", F.lit(1)) > 1).alias("_repeats")
+    found = stored(jaccard_components(keyed, size, percent, "_key", "_text"))
+    rows = found.groupBy(F.col("_key.key").alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(F.col("component_id") != F.col("_key")).alias("_goes"),
     )
-    once = stays.filter("_repeats").dropDuplicates([id_column, text_column])
+    rows = stored(rows.filter("_goes or _rows > 1"))
+    marked = documents.withColumn("_key", key)
+    marked = marked.withColumn("_touched", membership(rows, "_key")("_key"))
+    looked_at = marked.filter("_touched").join(rows, "_key", "left")
+    stays = looked_at.filter("not coalesce(_goes, false)")
+    once = stays.filter("_rows > 1").dropDuplicates(["_key"])
     return reduce(
         DataFrame.unionByName,
-        [x.select(*documents.columns) for x in (marked.filter("not _touched"), stays.filter("not _repeats"), once)],
+        [
+            x.select(*documents.columns)
+            for x in (marked.filter("not _touched"), stays.filter("coalesce(_rows, 1) = 1"), once)
+        ],
     )
