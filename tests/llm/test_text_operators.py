@@ -299,6 +299,23 @@ def test_archives_on_disk(spark, tmp_path):
     assert fixity.audit(fixity.lay_out(pages.limit(0)), read.limit(0)).count() == 0
 
 
+def test_audit_of_null_and_repeated_ids_and_of_extra_records(spark, tmp_path):
+    rows = [(n, "u", f"<p>{n}") for n in range(1, 9)] + [(3, "u", "<p>again"), (None, "u", "x"), (None, "u", "y"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    found = queries.warc_fixity(spark, str(tmp_path)).collect()
+    assert sorted((r["page_id"], r["status"]) for r in found) == [(5, "changed"), (6, "missing")]
+    places = fixity.lay_out(pages, ids_per_file=2)
+    files = {r["file"]: r["count"] for r in places.filter("page_id is null").groupBy("file").count().collect()}
+    assert sum(files.values()) == 3 and set(files) <= {fixity.NO_ID, fixity.NO_ID + 1}
+    copy = places.select("file", "offset", "digest")
+    more = [(0, 10**6, "a"), (99, 0, "b"), (1, 0, "0")]
+    extra = spark.createDataFrame(more, copy.schema)
+    found = fixity.audit(places, copy.unionByName(extra)).collect()
+    assert sorted((r["file"], r["offset"], r["found"]) for r in found) == sorted(more)
+    assert {r["status"] for r in found} == {"extra"}
+
+
 # Pipeline
 
 

@@ -31,19 +31,45 @@ def warc_record(
     )
 
 
-def lay_out(pages: DataFrame, ids_per_file: int = 1000) -> DataFrame:
+#: The first file of records without an id.
+NO_ID = 2**40
+
+
+def file_of(digest: Column, ids_per_file: int, null_files: int) -> Column:
+    """The file of a page: by range of its id, without one by the digest of its record."""
+    dealt = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % null_files + NO_ID
+    return F.coalesce(F.floor(F.col("page_id") / ids_per_file), dealt)
+
+
+def null_files_of(pages: DataFrame, ids_per_file: int = 1000) -> int:
+    """How many files the records without an id need."""
+    return -(-pages.filter("page_id is null").count() // ids_per_file) or 1
+
+
+def lay_out(
+    pages: DataFrame,
+    ids_per_file: int = 1000,
+    null_files: int | None = None,
+    carried: dict[str, Column] | None = None,
+) -> DataFrame:
     """``file, offset, length, place, page_id, digest``: the place of every page's record.
 
-    Files hold ranges of ``ids_per_file`` ids (null ids have a file of their own, the last
-    in number) and in them records in order of id and digest. Offsets are running sums of lengths within a file, of
-    which a file has a bounded number unless ids repeat.
+    Files hold ranges of ``ids_per_file`` ids and in them records in order of id and digest.
+    Records without an id are dealt by digest over ``null_files`` files, the last in number,
+    of about ``ids_per_file`` records. Offsets are running sums of lengths within a file, of
+    which a file has a bounded number unless ids, or records without one, repeat.
+
+    ``carried`` are more columns, computed of each page before its text is let go.
     """
+    if null_files is None:
+        null_files = null_files_of(pages, ids_per_file)
+    carried = carried or {}
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    rows = pages.select(
-        F.coalesce(F.floor(F.col("page_id") / ids_per_file), F.lit(2**40)).alias("file"),
-        "page_id",
-        record.alias("record"),
-    ).withColumns({"length": F.octet_length("record").cast("long"), "digest": F.sha2("record", 256)})
+    rows = (
+        pages.select("page_id", record.alias("record"), *(c.alias(name) for name, c in carried.items()))
+        .withColumns({"length": F.octet_length("record").cast("long"), "digest": F.sha2("record", 256)})
+        .withColumn("file", file_of(F.col("digest"), ids_per_file, null_files))
+    )
     places = Window.partitionBy("file").orderBy("page_id", "digest")
     before = places.rowsBetween(Window.unboundedPreceding, -1)
     # Only ids, lengths and digests are sorted, not the records.
@@ -125,27 +151,48 @@ def audit(places: DataFrame, replica: DataFrame, fan_out: int = FAN_OUT) -> Data
     """``file, offset, length, page_id, expected, found, status`` of damaged records.
 
     ``places`` is what ``lay_out`` gave for the archive; ``replica`` has ``file, offset,
-    digest`` of the records found at those places of a copy. Status is ``changed`` or
-    ``missing``. Both trees are built from digests alone; only branches whose hashes
-    differ are followed down.
+    digest`` of the records found in a copy. Status is ``changed``, ``missing``, or
+    ``extra`` for a record at a place where the archive has none; extra records have
+    neither length nor id. Both trees are built from digests alone; only branches whose
+    hashes differ are followed down.
     """
-    slots = (places.agg(F.max("place")).first()[0] or 0) + 1
-    numbered = stored(places.withColumn("node", leaf_number(slots)))
-    copy = replica.join(numbered.select("file", "offset", "node"), ["file", "offset"])
+    at = ["file", "offset"]
+    numbered = places.select(*at, "length", "page_id", "digest", "place")
+    held = numbered.select(*at, "place", F.col("digest").alias("_expected"))
+    # Records at places that the archive lacks are numbered behind its own, as are all but
+    # one of several at one place: an intact one, if there is one, is no extra record.
+    strange = replica.join(held, at, "left_anti")
+    copies = replica.join(held, at).withColumn(
+        "_turn", F.row_number().over(Window.partitionBy(*at).orderBy(F.col("digest") != F.col("_expected"), "digest"))
+    )
+    strange = strange.unionByName(copies.filter("_turn > 1").select(*replica.columns))
+    ends = numbered.groupBy("file").agg((F.max("place") + 1).alias("_end"))
+    turn = F.row_number().over(Window.partitionBy("file").orderBy("offset", "digest")) - 1
+    extra = stored(
+        strange.join(ends, "file", "left").select(
+            *at, "digest", (F.coalesce("_end", F.lit(0)) + turn).alias("place")
+        )
+    )
+    most = [t.agg(F.max("place")).first()[0] for t in (places, extra)]
+    slots = max(0 if m is None else m for m in most) + 1
+    numbered = stored(numbered.withColumn("node", leaf_number(slots)))
+    known = copies.filter("_turn = 1").withColumn("node", leaf_number(slots)).select("node", "digest")
+    unknown = extra.withColumn("node", leaf_number(slots))
+    copy = known.unionByName(unknown.select("node", "digest"))
     one = merkle_levels(numbered.withColumnRenamed("digest", "hash"), fan_out)
     two = merkle_levels(copy.withColumnRenamed("digest", "hash"), fan_out)
+    every = numbered.drop("digest", "place").unionByName(
+        unknown.select(*at, "node"), allowMissingColumns=True
+    )
+    status = (
+        F.when(F.col("found").isNull(), "missing")
+        .when(F.col("expected").isNull(), "extra")
+        .otherwise("changed")
+    )
     return (
         differing_leaves(one, two, fan_out)
-        .join(numbered, "node")
-        .select(
-            "file",
-            "offset",
-            "length",
-            "page_id",
-            "expected",
-            "found",
-            F.when(F.col("found").isNull(), "missing").otherwise("changed").alias("status"),
-        )
+        .join(every, "node")
+        .select("file", "offset", "length", "page_id", "expected", "found", status.alias("status"))
     )
 
 
@@ -153,8 +200,9 @@ def write_warc(pages: DataFrame, path: str, ids_per_file: int = 1000) -> None:
     """One WARC file for each range of ids under ``path/file=n``, places as ``lay_out``
     has them."""
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    null_files = null_files_of(pages, ids_per_file)
     rows = pages.select(
-        F.coalesce(F.floor(F.col("page_id") / ids_per_file), F.lit(2**40)).alias("file"),
+        file_of(F.sha2(record, 256), ids_per_file, null_files).alias("file"),
         "page_id",
         F.sha2(record, 256).alias("digest"),
         record.alias("record"),

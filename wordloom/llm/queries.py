@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import table
+from wordloom.llm.common import stored, table
 from wordloom.llm.fingerprints import fingerprint_report
 from wordloom.llm.fixity import CHECK_SQL as FIXITY_SQL
 from wordloom.llm.fixity import audit, lay_out, warc_record
@@ -78,21 +78,19 @@ def warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """An audit of the archive of ``pages`` against a copy that went wrong in known ways:
     of 97 records one has its first character changed and one is lost."""
     pages = table(spark, folder, "pages")
-    places = lay_out(pages)
     kind = F.col("page_id") % 97
     damaged = F.when(
         (kind == 5) & (F.coalesce("html", F.lit("")) != ""),
         F.concat(F.lit("?"), F.substring("html", 2, 2**31 - 1)),
     ).otherwise(F.coalesce("html", F.lit("")))
-    # The copy's records are read again and digested by themselves; the head of a record
-    # keeps the length that was stated.
+    # The copy's records are digested by themselves; the head of a record keeps the length
+    # that was stated. A record of the copy lies where the one it was made from lies.
     stated = F.octet_length(F.coalesce("html", F.lit("")))
-    copy = pages.filter(~F.coalesce(kind == 6, F.lit(False))).select(
-        F.col("page_id").alias("id"),
-        F.sha2(warc_record(F.col("page_id"), F.col("url"), damaged, stated), 256).alias("digest"),
-    )
-    found = places.select("file", "offset", "page_id").join(copy, F.col("page_id") == F.col("id"))
-    return audit(places, found.select("file", "offset", "digest"))
+    held = F.sha2(warc_record(F.col("page_id"), F.col("url"), damaged, stated), 256)
+    lost = F.coalesce(kind == 6, F.lit(False))
+    rows = stored(lay_out(pages, carried={"held": held, "lost": lost}))
+    copy = rows.filter("not lost").select("file", "offset", F.col("held").alias("digest"))
+    return audit(rows.drop("held", "lost"), copy)
 
 
 def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
