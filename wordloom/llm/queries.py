@@ -8,7 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.llm.centroids import check_sql as centroid_sql
+from wordloom.llm.centroids import cluster_vectors
 from wordloom.llm.common import stored, table
+from wordloom.llm.decontamination import CHECK_SQL as LEAK_SQL
+from wordloom.llm.decontamination import leak_report
 from wordloom.llm.fingerprints import fingerprint_report
 from wordloom.llm.fixity import CHECK_SQL as FIXITY_SQL
 from wordloom.llm.fixity import audit, lay_out, warc_record
@@ -22,6 +26,7 @@ from wordloom.llm.quality import CHECK_SQL as QUALITY_SQL
 from wordloom.llm.quality import clean_lines
 from wordloom.llm.token_counts import count_tokens
 from wordloom.llm.toxicity import held_out, score_toxicity, train
+from wordloom.llm.whitening import whiten_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +124,18 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
 
 
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(table(spark, folder, "embeddings"), k=16, rounds=3, seed=1)
+
+
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leak_report(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+
+
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten_vectors(table(spark, folder, "embeddings"), components=16)
+
+
 def registered() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": best_fit_packing,
@@ -131,6 +148,9 @@ def registered() -> dict[str, Query]:
         "op8_toxicity": toxicity,
         "op9_token_counts": token_counts,
         "op10_html_extraction": html_extraction,
+        "op11_centroid_clustering": centroid_clustering,
+        "op12_benchmark_decontamination": benchmark_decontamination,
+        "op13_embedding_whitening": embedding_whitening,
     }
 
 
@@ -140,4 +160,6 @@ def check_sql() -> dict[str, str]:
         "op3_quality_rules": QUALITY_SQL,
         "op4_source_mixing": mixing_sql(MIX, **MIX_OPTIONS),
         "op5_warc_fixity": FIXITY_SQL,
+        "op11_centroid_clustering": centroid_sql(k=16, rounds=3, seed=1),
+        "op12_benchmark_decontamination": LEAK_SQL,
     }
