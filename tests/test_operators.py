@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordloom import operators as O
+from wordloom import storage
 from wordloom.functions import STOP_WORDS, stripe_text
+from wordloom.operators import selection
+from wordloom.storage import stored
 
 
 def values(frame):
@@ -168,12 +171,86 @@ def test_counting_within_rows_equals_counting_by_shuffle(corpus, words):
         assert shuffled
 
 
-@pytest.mark.parametrize("blocks", [1, 7])
-def test_a_long_vocabulary_for_the_dense_table(spark, corpus, blocks):
-    terms = spark.range(100_001).select(F.concat(F.lit("t"), F.translate("id", "0123456789", "bcdfghjklm")).alias("term"))
-    rows = O.term_frequency_dense(corpus(("1", "tcb tcb"), ("2", "x")), terms, blocks=blocks)
-    assert rows.groupBy("doc_id").agg(F.count("term"), F.sum("tf")).orderBy("doc_id").collect() == [
-        ("1", 100_001, 2), ("2", 100_001, 0)]
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("small", [True, False])
+def test_a_long_vocabulary_for_the_dense_table(spark, corpus, monkeypatch, unique, small):
+    """A million terms, in blocks that are sent to all tasks or shuffled."""
+    monkeypatch.setattr(storage, "SMALL", (1 << 30) if small else 0)
+    n = 1_000_000
+    name = F.concat(F.lit("t"), F.translate("id", "0123456789", "bcdfghjklm"))
+    terms = spark.range(n).select(name.alias("term"))
+    frame = corpus(("1", "tcb tcb"), ("2", "x"), ("3", "tb"))
+    rows = O.term_frequency_dense(frame, terms, assume_unique_ids=unique)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan and ("BroadcastHashJoin" in plan) == small
+    counted = rows.groupBy("doc_id").agg(F.count("term"), F.count_distinct("term"), F.sum("tf"))
+    assert values(counted) == [("1", n, n, 2), ("2", n, n, 0), ("3", n, n, 1)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("block_terms", [1, 2, 1000])
+def test_dense_scores_equal_scores_of_the_dense_table(corpus, words, spark, monkeypatch, small, block_terms):
+    monkeypatch.setattr(storage, "SMALL", (1 << 20) if small else 0)
+    df = spark.createDataFrame([("cat", 2), ("bird", 5)], "term string, df long")
+    vocabulary = words("cat", "dog", "bird", None, "cat")
+    frame = corpus(*DOCUMENTS, ("4", ""))
+    for total in (10_000, None):
+        found = O.dense_scores(
+            frame, vocabulary, df, ["the"], total_documents=total, block_terms=block_terms
+        )
+        table = O.term_frequency_dense(frame, vocabulary, ["the"], block_terms=block_terms)
+        assert values(found) == values(O.tfidf(table, df, total))
+        assert found.count() == 12
+    assert O.dense_scores(frame, words(), df).count() == 0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_large_list_deals_out_heavy_words_only(spark, monkeypatch, small):
+    monkeypatch.setattr(storage, "SMALL", (1 << 20) if small else 0)
+    n = 20_000
+    every = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("the").alias("word"))
+    rare = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("word"))
+    rows = stored(every.unionByName(rare))
+    heavy = selection.heavy_words(rows, "word", 1 / 64)
+    assert [(r["term"], r["parts"]) for r in heavy.collect()] == [("the", 32)]
+    listed = rare.filter("doc_id % 2 = 0").select("word").union(spark.sql("select 'the'"))
+    kept = selection.keep_vocabulary(rows, listed, spread=F.col("doc_id"))
+    assert kept.columns == rows.columns
+    assert kept.count() == n + n // 2
+    assert selection.remove_stop_words(rows, listed, spread=F.col("doc_id")).count() == n // 2
+    if not small:
+        # What a task of the join gets: by word and part. No part has more than its share.
+        terms = storage.listed(listed).terms
+        joined = selection.dealt_join(rows, terms, "word", "left", F.col("doc_id"))
+        assert joined.filter("term is null").count() == n // 2
+        part = F.pmod(F.xxhash64("doc_id"), F.lit(32))
+        most = every.groupBy(part).count().agg(F.max("count")).first()[0]
+        assert most < 1.3 * 2 * n / 64
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_scores_by_a_large_table_of_counts(spark, monkeypatch, small):
+    monkeypatch.setattr(storage, "SMALL", (1 << 20) if small else 0)
+    tf = spark.range(500).selectExpr("cast(id as string) doc_id", "explode(array('a', 'b', concat('x', id))) term", "2L tf")
+    df = spark.createDataFrame([("a", 99), ("x7", 5)], "term string, df long")
+    rows = {(r.doc_id, r.term): r.tfidf for r in O.tfidf(tf, df).collect()}
+    assert len(rows) == 1500 and rows["7", "a"] == 4.0 and rows["7", "x7"] == 2 * math.log10(10_000 / 6)
+    assert rows["8", "x8"] == 2 * math.log10(5000)
+    assert {r.tfidf for r in O.tfidf(tf, df, None).filter("term = 'a'").collect()} == {2 * math.log10(5)}
+
+
+def test_a_vocabulary_of_unknown_size_is_applied_below_the_window(spark, lines):
+    """Its size is measured, so that not all pairs of the corpus are counted."""
+    frame = lines("a b a a c", "b b", "", "c a")
+    unknown = lines("a", "c").join(lines("a", "c", "d"), "value").groupBy("value").count()
+    rows = O.cooccurrence_pairs(frame, unknown, 2)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert values(rows) == brute_force(["a b a a c", "b b", "", "c a"], {"a", "c"}, {1, 2})
+    # The printed tree has the last step first: the centre word is tested before its window
+    # is unfolded, the other word before pairs are counted.
+    assert plan.index("partial_count") < plan.index("BroadcastHashJoin")
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert plan.index("Generate explode") < plan.rindex("BroadcastHashJoin") < plan.index("Generate posexplode")
 
 
 def test_the_dense_table_takes_a_table_of_stop_words(corpus, words):
@@ -182,7 +259,10 @@ def test_the_dense_table_takes_a_table_of_stop_words(corpus, words):
         ("1", "cat", 2), ("1", "the", 0), ("2", "cat", 1), ("2", "the", 0), ("3", "cat", 0), ("3", "the", 0)]
 
 
-def test_records_of_equal_keys_keep_their_own_maps(corpus, words):
+@pytest.mark.parametrize("small", [True, False])
+def test_records_of_equal_keys_keep_their_own_maps(corpus, words, monkeypatch, small):
+    monkeypatch.setattr(storage, "SMALL", (1 << 20) if small else 0)
+    assert values(O.keyed_term_maps(corpus(("1", "a")), words()).select("doc_id", F.size("tf"))) == [("1", 0)]
     frame = corpus(("1", "a b a"), ("1", "a b a"), ("1", "zz"), ("2", ""))
     rows = O.keyed_term_maps(frame, words("a", "b"))
     assert sorted((r.doc_id, sorted(r.tf.items())) for r in rows.collect()) == [

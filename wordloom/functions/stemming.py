@@ -154,9 +154,9 @@ def _stem_strings(tokens: pa.Array) -> pa.Array:
     return pa.array(stems, pa.string()).take(encoded.indices)
 
 
-def _count_stems(lists: pa.Array) -> pa.Array:
+def _count_stems(lists: pa.Array, stem=_remembered_stem) -> pa.Array:
     encoded = lists.flatten().dictionary_encode()
-    stems = [_remembered_stem(token) for token in encoded.dictionary.to_pylist()]
+    stems = encoded.dictionary if stem is None else [stem(t) for t in encoded.dictionary.to_pylist()]
     stems = pa.array(stems, pa.string()).dictionary_encode()
     # one number per occurrence, for its row and its stem
     codes = stems.indices.to_numpy()[encoded.indices.to_numpy()]
@@ -183,8 +183,17 @@ def _counts(lists: pa.Array) -> pa.Array:
     return _count_stems(lists)
 
 
+@F.arrow_udf(
+    T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.LongType()))
+)
+def _plain_counts(lists: pa.Array) -> pa.Array:
+    return _count_stems(lists, None)
+
+
 #: Stem of a token column.
 stem_token = _stem.asNondeterministic()
 #: From an array of tokens to an array of its distinct stems (``term``) with their
 #: counts (``tf``).
 stem_counts = _counts.asNondeterministic()
+#: The same for the tokens as they are.
+token_counts = _plain_counts.asNondeterministic()

@@ -8,7 +8,8 @@ The vocabulary test is written after the counting. The optimizer moves both semi
 below the count, and the first one below the unfolding of the windows, exactly when the
 vocabulary is small enough to be broadcast; then one pass over the corpus needs no
 shuffle but that of the partial counts. A vocabulary too large for that is joined with
-the counted pairs instead of with every occurrence.
+the counted pairs instead of with every occurrence. One whose size the optimizer cannot
+tell is stored and measured first, so that this never rests on a guess.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import NOT_WORD
-from wordloom.operators.selection import keep_vocabulary
+from wordloom.operators.selection import keep_vocabulary, of_known_size
+from wordloom.ordering import range_bounds, range_of
+from wordloom.storage import stored
 
 WHOLE_ARRAY = 2**31 - 1
 
@@ -66,6 +69,8 @@ def cooccurrence_pairs(
     forward = following.groupBy("word", "coword").agg(F.count(F.lit(1)).alias("cnt"))
     key = vocabulary.columns[0]
     vocabulary = vocabulary.select(key).filter(F.col(key) != "")
+    if not large_vocabulary:
+        vocabulary = of_known_size(vocabulary)
     forward = keep_vocabulary(forward, vocabulary, "word")
     forward = keep_vocabulary(forward, vocabulary, "coword")
     if large_vocabulary:
@@ -94,3 +99,26 @@ def cooccurrence_stripes(
     pairs = cooccurrence_pairs(lines, vocabulary, distance, mode)
     entries = F.array_sort(F.collect_list(F.struct("coword", "cnt")))
     return pairs.groupBy("word").agg(F.map_from_entries(entries).alias("stripe"))
+
+
+def cooccurrence_stripe_pieces(
+    lines: DataFrame,
+    vocabulary: DataFrame,
+    distance: int,
+    mode: str = "within",
+    entries: int = 100_000,
+    large_vocabulary: bool = False,
+) -> DataFrame:
+    """``word, part, stripe``: stripes in pieces of about ``entries`` cowords at most.
+
+    For large vocabularies, where one map per word would grow with the vocabulary. The
+    parts are the same ranges of cowords for all words, found from the counted pairs, which
+    are stored; so the pieces of a word, by part, follow each other in the order of their
+    cowords and together are its stripe. A piece without a coword has no row.
+    """
+    pairs = stored(cooccurrence_pairs(lines, vocabulary, distance, mode, large_vocabulary))
+    cowords = stored(pairs.select("coword").distinct())
+    parts = max(1, -(-cowords.count() // entries))
+    part = range_of(["coword"], range_bounds(cowords, ["coword"], parts), pairs.schema)
+    found = F.array_sort(F.collect_list(F.struct("coword", "cnt")))
+    return pairs.groupBy("word", part.alias("part")).agg(F.map_from_entries(found).alias("stripe"))

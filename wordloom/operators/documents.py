@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.stemming import stem_counts, stem_token
+from wordloom.functions.stemming import stem_counts, stem_token, token_counts
 from wordloom.functions.tokens import alnum_tokens, letter_tokens, without
+from wordloom.operators.dense import BLOCK_TERMS, block_of, lay_over, term_blocks
 from wordloom.operators.selection import (
     Words,
     keep_vocabulary,
-    mark_vocabulary,
     remove_stop_words,
 )
+from wordloom.storage import Listed, listed, stored
+
 
 def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     """``token, term``: the distinct tokens that are no stop words, with their stems."""
@@ -89,45 +91,95 @@ def term_frequency(
     return kept.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
+def _per_block(
+    corpus: DataFrame, vocabulary: Listed, stop_words: Words, assume_unique_ids: bool, blocks: int
+) -> DataFrame:
+    """``doc_id, block, found``: a row for every document and block, with the counts of the
+    document's terms that belong to the block."""
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    if assume_unique_ids and not isinstance(stop_words, DataFrame):
+        rows = _row_counts(corpus, stop_words or ())
+        if blocks == 1:
+            # Not a literal, with which the plan would have a join without a key.
+            return rows.select("doc_id", block_of("doc_id", 1).alias("block"), "found")
+        rows = rows.select("doc_id", "found", numbers)
+        own = F.filter("found", lambda x: block_of(x["term"], blocks) == F.col("block"))
+        return rows.select("doc_id", "block", own.alias("found"))
+    counts = _counts(corpus, stop_words)
+    if vocabulary.small:
+        counts = counts.join(F.broadcast(vocabulary.terms), "term", "left_semi")
+    summed = counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    # Documents without any of the terms come from their ids alone.
+    nothing = F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf")
+    ids = corpus.select("doc_id").distinct().select("doc_id", numbers, *nothing)
+    found = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
+    rows = summed.select("doc_id", block_of("term", blocks).alias("block"), "term", "tf").unionByName(ids)
+    return rows.groupBy("doc_id", "block").agg(found.alias("found"))
+
+
+def _dense(
+    corpus: DataFrame,
+    vocabulary: Listed,
+    value: Column,
+    stop_words: Words,
+    assume_unique_ids: bool,
+    block_terms: int,
+) -> DataFrame:
+    blocks = max(1, -(-vocabulary.count // block_terms))
+    rows = _per_block(corpus, vocabulary, stop_words, assume_unique_ids, blocks)
+    return lay_over(rows, term_blocks(vocabulary, value, blocks), vocabulary.small, blocks)
+
+
 def term_frequency_dense(
     corpus: DataFrame,
     vocabulary: DataFrame,
     stop_words: Words = None,
     assume_unique_ids: bool = False,
-    blocks: int = 1,
+    block_terms: int = BLOCK_TERMS,
 ) -> DataFrame:
     """``doc_id, term, tf`` for every document and every vocabulary term, zeros included.
 
-    The vocabulary is evaluated once and travels with the documents as ``blocks`` constant
-    arrays, so documents and terms are never joined; a long one is given more blocks, as
-    each is unfolded by itself. Zeros are added once per document: where no id is on two
-    rows (``assume_unique_ids``, not checked) and the stop list is a sequence, nothing is
-    shuffled; otherwise the counts of a document, which has at most as many as the
-    vocabulary, are gathered before.
+    The vocabulary is evaluated once, at the call, and stored in blocks of about
+    ``block_terms`` terms, which documents meet by the number of the block. Zeros are added
+    there, once per document: where no id is on two rows (``assume_unique_ids``, not
+    checked) and the stop list is a sequence, nothing but a large vocabulary is shuffled;
+    otherwise the counts of a document are gathered by block before.
     """
-    listed = _as_arrays(vocabulary, blocks)
-    if assume_unique_ids and not isinstance(stop_words, DataFrame):
-        rows = _row_counts(corpus, stop_words or ())
-    else:
-        counts = term_frequency(corpus, vocabulary, stop_words)
-        # Documents without any of the terms come from their ids alone.
-        ids = corpus.select("doc_id", F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf"))
-        found = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
-        rows = counts.unionByName(ids).groupBy("doc_id").agg(found.alias("found"))
-    rows = rows.select("doc_id", "found", F.explode(listed).alias("block"))
-    missing = F.transform(
-        F.array_except("block", "found.term"),
-        lambda term: F.struct(term.alias("term"), F.lit(0).cast("bigint").alias("tf")),
-    )
-    if blocks > 1:
-        number = lambda term: F.pmod(F.xxhash64(term), F.lit(blocks))
-        own = F.filter("found", lambda x: number(x["term"]) == number(F.get("block", F.lit(0))))
+    terms = listed(vocabulary)
+    rows = _dense(corpus, terms, F.lit(0), stop_words, assume_unique_ids, block_terms)
+    return rows.select("doc_id", "term", "tf")
+
+
+def dense_scores(
+    corpus: DataFrame,
+    vocabulary: DataFrame,
+    document_counts: DataFrame,
+    stop_words: Words = None,
+    assume_unique_ids: bool = False,
+    total_documents: int | None = 10_000,
+    block_terms: int = BLOCK_TERMS,
+) -> DataFrame:
+    """``doc_id, term, tfidf`` with ``tf * log10(total_documents / (df + 1))`` for every
+    document and every vocabulary term.
+
+    Each block of the vocabulary (see :func:`term_frequency_dense`) carries the weights of
+    its terms, made once from ``document_counts`` (``term, df``), so the table of documents
+    by terms meets no list of counts. A term without a count is taken to be in one document.
+    ``total_documents=None`` counts the distinct ids of the corpus.
+    """
+    if total_documents is None:
+        ids = corpus.select("doc_id")
+        total_documents = (ids if assume_unique_ids else ids.distinct()).count()
+    term = F.col(vocabulary.columns[0]).alias("term")
+    if vocabulary is document_counts:
+        counted = vocabulary.select(term, "df")
     else:
-        own = F.col("found")
-    every = rows.select("doc_id", F.inline(F.concat(own, missing)))
-    if assume_unique_ids and not isinstance(stop_words, DataFrame):
-        return keep_vocabulary(every, vocabulary, "term", spread=F.col("doc_id"))
-    return every
+        df = document_counts.select("term", "df")
+        counted = vocabulary.select(term).distinct().join(df, "term", "left")
+    weight = F.log10(F.lit(float(total_documents)) / (F.coalesce("df", F.lit(1)) + 1))
+    terms = listed(counted, "df")
+    rows = _dense(corpus, terms, weight, stop_words, assume_unique_ids, block_terms)
+    return rows.select("doc_id", "term", (F.col("tf") * F.col("value")).alias("tfidf"))
 
 
 def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -140,26 +192,28 @@ def keyed_term_frequency(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def keyed_term_maps(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``doc_id, tf``: one map of counts per keyed record, empty if nothing matches.
 
-    A record is numbered, its tokens are counted before any shuffle, what the vocabulary
-    (of any size) has of them is gathered by the number. The time is linear in tokens.
+    The tokens of a record are counted where it is, in one pass over them. A small
+    vocabulary (it is stored and measured) comes to the records, and nothing is shuffled.
+    For a larger one the records are stored with a number, their counted terms meet the
+    vocabulary, and what it has of them is gathered by the number.
     """
-    nothing = F.array(F.lit(None).cast("string"))
-    records = keyed.select(F.monotonically_increasing_id().alias("_record"), "doc_id", "text")
-    tokens = records.select(
-        "_record", "doc_id", F.explode(F.concat(alnum_tokens("text"), nothing)).alias("term")
+    terms = listed(vocabulary)
+    records = keyed.select("doc_id", token_counts(alnum_tokens("text")).alias("found"))
+    if terms.small:
+        # One row, and as an aggregate without groups it is there for an empty list, too.
+        whole = stored(terms.terms.agg(F.lit(0).alias("block"), F.collect_list("term").alias("known")))
+        met = records.withColumn("block", block_of("doc_id", 1)).join(F.broadcast(whole), "block")
+        hits = F.array_intersect("known", "found.term")
+        own = F.filter("found", lambda x: F.array_contains("hits", x["term"]))
+        rows = met.select("doc_id", "found", hits.alias("hits")).select("doc_id", own.alias("found"))
+        return rows.select("doc_id", F.map_from_entries(F.array_sort("found")).alias("tf"))
+    records = stored(records.withColumn("_record", F.monotonically_increasing_id()))
+    counts = records.select("_record", F.inline("found"))
+    kept = keep_vocabulary(counts, terms, "term", F.col("_record"))
+    kept = kept.select("_record", "term", "tf").unionByName(
+        records.select("_record", F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf"))
     )
-    counts = tokens.groupBy("_record", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    # One branch, so that a record is numbered once; the null token keeps empty records.
-    rows = mark_vocabulary(counts, vocabulary, "term", F.col("_record")).filter("_hit or term is null")
     entries = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
-    gathered = rows.groupBy("_record", "doc_id").agg(F.array_sort(entries).alias("found"))
-    return gathered.select("doc_id", F.map_from_entries("found").alias("tf"))
-
-
-def _as_arrays(vocabulary: DataFrame, blocks: int) -> Column:
-    """The terms as one constant array of arrays, a block each."""
-    term = F.col(vocabulary.columns[0]).alias("term")
-    terms = vocabulary.select(term).filter("term is not null").distinct()
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block")
-    listed = terms.groupBy(block).agg(F.array_sort(F.collect_list("term")).alias("terms"))
-    return listed.agg(F.collect_list("terms").alias("terms")).scalar()
+    gathered = kept.groupBy("_record").agg(F.array_sort(entries).alias("found"))
+    named = records.select("_record", "doc_id").join(gathered, "_record")
+    return named.select("doc_id", F.map_from_entries("found").alias("tf"))

@@ -1,13 +1,12 @@
 """SQL for DuckDB that computes every registered query in another way.
 
 Tokens are found with the complementary pattern, co-occurrence is a self join on
-positions, and stemming is a row of regular-expression steps. The stop list and the
-suffix tables are the engine's own; the tests compare those with stems written out.
+positions, and stemming is a row of regular-expression steps. The stop list is the
+engine's own.
 """
 
 from __future__ import annotations
 
-from wordloom.functions.stemming import STEP_2, STEP_3, STEP_4
 from wordloom.functions.stopwords import STOP_WORDS
 
 _STOP = "(" + ", ".join(f"'{word}'" for word in STOP_WORDS) + ")"
@@ -27,6 +26,23 @@ _M_IS_1 = f"{_M_ABOVE_0}({_V})?$"
 _M_ABOVE_1 = f"{_M_ABOVE_0}{_V}{_C}"
 _SHORT_END = f"^{_C}[aeiouy][^aeiouwxy]$"
 
+# The rules of steps 2, 3 and 4 as the paper lists them, with its author's
+# later bli and logi; in step 4 "ion" stays unless s or t is before it.
+_STEP_2 = (
+    "ational ate, tional tion, enci ence, anci ance, izer ize, bli ble, alli al, entli ent, "
+    "eli e, ousli ous, ization ize, ation ate, ator ate, alism al, iveness ive, fulness ful, "
+    "ousness ous, aliti al, iviti ive, biliti ble, logi log"
+)
+_STEP_3 = "icate ic, ative, alize al, iciti ic, ical ic, ful, ness"
+_STEP_4 = (
+    "al, ance, ence, er, ic, able, ible, ant, ement, ment, ent, ion, ou, ism, ate, iti, ous, "
+    "ive, ize"
+)
+
+
+def _rules(step: str) -> dict[str, str]:
+    return {suffix: new for suffix, _, new in (rule.partition(" ") for rule in step.split(", "))}
+
 
 def _tokens(kind: str, text: str = "text") -> str:
     return _TOKENS[kind].format(text)
@@ -75,9 +91,9 @@ def _stem_steps(tokens: str) -> str:
             else {_cut('w', 1)} end""",
         f"""case when {keep} when ends_with(w, 'y') and {_is(_cut('w', 1), _HAS_VOWEL)}
             then {_cut('w', 1)} || 'i' else w end""",
-        _suffix_step(STEP_2, _M_ABOVE_0),
-        _suffix_step(STEP_3, _M_ABOVE_0),
-        _suffix_step(dict.fromkeys(STEP_4, ""), _M_ABOVE_1),
+        _suffix_step(_rules(_STEP_2), _M_ABOVE_0),
+        _suffix_step(_rules(_STEP_3), _M_ABOVE_0),
+        _suffix_step(_rules(_STEP_4), _M_ABOVE_1),
         f"""case when {keep} when ends_with(w, 'e') and ({_is(_cut('w', 1), _M_ABOVE_1)}
               or ({_is(_cut('w', 1), _M_IS_1)} and not {_is(_cut('w', 1), _SHORT_END)}))
             then {_cut('w', 1)} else w end""",
@@ -213,12 +229,35 @@ select d.doc_id, scored.term,
 from (select doc_id from documents where text <> '') d cross join scored
 left join terms on terms.doc_id = d.doc_id and terms.term = scored.term
 left join lists on lists.raw = scored.term and not lists.three""",
+        "tfidf_sparse": _terms()
+        + "select doc_id, term, round(terms.tf * log10(10000.0 / (df + 1)), 6) + 0.0 as tfidf"
+        " from terms join frequencies using (term) where length(term) > 0",
         "tfidf_tsv_lines": _terms()
         + "select doc_id || chr(9) || term || chr(9) || printf('%.6f', tf * log10(cast(10000 as double) / (df + 1)))"
         " as value from dense",
         "stripe_lines": _pairs(_within(2))
         + "select word || chr(9) || '{' || string_agg(coword || '=' || cnt, ', ' order by coword) || '}' as value\n"
         "from pairs group by word",
+        # Ranges of ranks: the i-th of n parts begins at the rank ceil(i * rows / n).
+        "cooc_stripe_pieces_d2": _pairs(_within(2))
+        + """, cowords as (
+  select coword, row_number() over (order by coword) - 1 as r, count(*) over () as n
+  from (select distinct coword from pairs)),
+parts as (select coword, cast(r * ((n + 6) // 7) // n as integer) as part from cowords)
+select word, part, '{' || string_agg(coword || '=' || cnt, ', ' order by coword) || '}' as stripe
+from pairs join parts using (coword) group by word, part""",
+        "cooc_pair_files": _pairs(_within(2))
+        + """, ranked as (
+  select word, coword, cnt, row_number() over (order by word, coword) - 1 as r, count(*) over () as n from pairs),
+placed as (select *, r * 4 // n as file from ranked)
+select cast(file as integer) as file_number, cast(r - (file * n + 3) // 4 as integer) as line_number,
+  word || chr(9) || coword || chr(9) || cnt as value from placed""",
+        "tfidf_files": _terms()
+        + "select row_number() over (order by doc_id, term) - 1 as line_number, doc_id || chr(9) || term"
+        " || chr(9) || printf('%.6f', tf * log10(cast(10000 as double) / (df + 1))) as value from dense",
+        "document_files": _terms()
+        + "select term, count(distinct doc_id) as df, count(distinct doc_id) filter (doc_id % 2 = 0) as first_df"
+        " from terms group by term",
         "tfidf_lines": _terms()
         + "select doc_id, term, printf('%.6f', tf * log10(cast(10000 as double) / (df + 1))) as score from dense",
         "keyed_term_frequency": keyed

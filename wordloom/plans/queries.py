@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,9 @@ from wordloom.functions import (
 )
 from wordloom.operators import (
     cooccurrence_pairs,
+    cooccurrence_stripe_pieces,
     cooccurrence_stripes,
+    dense_scores,
     document_frequency,
     keyed_term_frequency,
     keyed_term_maps,
@@ -39,15 +42,17 @@ from wordloom.operators import (
     top_words,
     word_count,
 )
-from wordloom.sinks import tsv_lines
+from wordloom.sinks import read_numbered_lines, tsv_lines, write_documents, write_tsv
 from wordloom.sources import (
     document_table,
+    documents_from_files,
     keyed_documents,
     term_counts,
     text_lines,
     vocabulary,
     word_list,
 )
+from wordloom.storage import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +113,13 @@ def stripes(distance: int, spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("word", stripe_text("stripe").alias("stripe"))
 
 
+def stripe_pieces(distance: int, entries: int, spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    words = top_words(word_count(documents, STOP_WORDS), 50)
+    rows = cooccurrence_stripe_pieces(text_lines(documents), words, distance, entries=entries)
+    return rows.select("word", "part", stripe_text("stripe").alias("stripe"))
+
+
 def pairs_of_all_words(spark: SparkSession, folder: str) -> DataFrame:
     """Neighbours over the whole vocabulary of the corpus, not only its top."""
     documents = _documents(spark, folder)
@@ -177,8 +189,12 @@ def term_frequencies_dense_joined(spark: SparkSession, folder: str) -> DataFrame
     return term_frequency_dense(_documents(spark, folder), terms, _language_codes(spark, folder))
 
 
-def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    return tfidf(term_frequencies_dense(spark, folder), top100_terms(spark, folder))
+def _scores(spark: SparkSession, folder: str, total_documents: int | None = 10_000) -> DataFrame:
+    terms = top100_terms(spark, folder)
+    documents = _documents(spark, folder)
+    return dense_scores(
+        documents, terms, terms, STOP_WORDS, assume_unique_ids=True, total_documents=total_documents
+    )
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -188,7 +204,7 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def scores_of_corpus_size(spark: SparkSession, folder: str) -> DataFrame:
     """With the number of documents of the corpus in place of the default."""
-    rows = tfidf(term_frequencies_dense(spark, folder), top100_terms(spark, folder), None)
+    rows = _scores(spark, folder, total_documents=None)
     return rows.select("doc_id", "term", (F.round("tfidf", 6) + F.lit(0.0)).alias("tfidf"))
 
 
@@ -202,14 +218,20 @@ def _term_lines(spark: SparkSession, folder: str) -> DataFrame:
     return top100_terms(spark, folder).select(line.alias("value"))
 
 
+def sparse_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the terms that a document has, of the whole corpus and not of its top."""
+    counts = document_frequencies(spark, folder)
+    rows = tfidf(term_frequency(_documents(spark, folder), counts, STOP_WORDS, assume_unique_ids=True), counts)
+    return rows.select("doc_id", "term", (F.round("tfidf", 6) + F.lit(0.0)).alias("tfidf"))
+
+
 def scores_from_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Terms of the normalised vocabulary and of the raw counts, scored by the raw counts;
     a term without one counts as being in one document."""
     file_lines = _term_lines(spark, folder)
     counts = term_counts(file_lines)
     terms = scored_terms(vocabulary(file_lines, normalise=True), counts)
-    dense = term_frequency_dense(_documents(spark, folder), terms, STOP_WORDS, assume_unique_ids=True)
-    rows = tfidf(dense, counts)
+    rows = dense_scores(_documents(spark, folder), terms, counts, STOP_WORDS, assume_unique_ids=True)
     return rows.select("doc_id", "term", (F.round("tfidf", 6) + F.lit(0.0)).alias("tfidf"))
 
 
@@ -228,6 +250,55 @@ def score_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "term", score_text("tfidf").alias("score"))
 
 
+# Files
+
+
+def pair_files(files: int, spark: SparkSession, folder: str) -> DataFrame:
+    """Counted pairs written in the order of their words, as files that follow each other,
+    and read back with their places."""
+    path = new_path(spark, "files")
+    write_tsv(pairs("within", 2, spark, folder), path, order_by=["word", "coword"], files=files)
+    return read_numbered_lines(spark, path)
+
+
+def score_files(files: int, spark: SparkSession, folder: str) -> DataFrame:
+    """Scores written by document and, in each, by term; a line is numbered over all files."""
+    path = new_path(spark, "files")
+    rows = _scores(spark, folder).select("doc_id", "term", score_text("tfidf").alias("score"))
+    write_tsv(rows, path, order_by=["doc_id", "term"], files=files)
+    lines = read_numbered_lines(spark, path)
+    sizes = lines.groupBy("file_number").agg(F.count(F.lit(1)).alias("n")).collect()  # a row a file
+    sizes = sorted((r["file_number"], r["n"]) for r in sizes)
+    before = [(number, sum(n for _, n in sizes[:i])) for i, (number, _) in enumerate(sizes)]
+    starts = spark.createDataFrame(before, "file_number int, start long")
+    numbered = lines.join(F.broadcast(starts), "file_number")
+    return numbered.select((F.col("start") + F.col("line_number")).alias("line_number"), "value")
+
+
+def document_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Document frequencies of a corpus of files: the documents are written as a file each
+    and read by their names. ``first_df`` is from documents with an even id, which are
+    written first; they are not written over unless that is asked for, and then all are."""
+    path = new_path(spark, "files")
+    documents = _documents(spark, folder)
+
+    def counted() -> DataFrame:
+        return document_frequency(documents_from_files(spark, path), STOP_WORDS)
+
+    write_documents(documents.filter("doc_id % 2 = 0"), path)
+    first = stored(counted().withColumnRenamed("df", "first_df"))
+    try:
+        write_documents(documents, path)
+    except AnalysisException as error:
+        if "PATH_ALREADY_EXISTS" not in str(error):
+            raise
+    else:
+        raise AssertionError("an existing path was written to")
+    write_documents(documents, path, overwrite=True)
+    rows = counted().join(first, "term", "left")
+    return rows.select("term", "df", F.coalesce("first_df", F.lit(0)).alias("first_df"))
+
+
 # Keyed records
 
 
@@ -341,8 +412,13 @@ def registered() -> dict[str, Query]:
         "tfidf": scores,
         "tfidf_corpus_size": scores_of_corpus_size,
         "tfidf_from_lists": scores_from_lists,
+        "tfidf_sparse": sparse_scores,
         "tfidf_tsv_lines": tfidf_tsv_lines,
         "stripe_lines": stripe_lines,
+        "cooc_stripe_pieces_d2": partial(stripe_pieces, 2, 7),
+        "cooc_pair_files": partial(pair_files, 4),
+        "tfidf_files": partial(score_files, 4),
+        "document_files": document_files,
         "tfidf_lines": score_lines,
         "keyed_term_frequency": keyed_frequencies,
         "keyed_term_maps": keyed_maps,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordloom.functions.rendering import stripe_text
+from wordloom.ordering import range_bounds, range_of
+from wordloom.storage import stored
 
 
 def _field(field: T.StructField) -> Column:
@@ -37,17 +39,55 @@ def write_tsv(
     overwrite: bool = False,
     order_by: Sequence[str] | None = None,
     within_files: bool = False,
+    files: int | None = None,
 ) -> None:
     """Write tab-separated lines; fail on an existing path unless told to overwrite.
 
-    With ``order_by`` the part files follow each other in that (byte) order. The sort
-    partitions by range, so the output stays spread over many tasks and files; to find the
-    ranges Spark computes the rows a second time. ``within_files`` orders each file by
-    itself instead: rows are dealt by a hash of the first column, as reducers get keys.
+    With ``order_by`` the part files follow each other in that (byte) order. The rows are
+    computed once and stored; a summary of their keys gives ranges of about equal numbers
+    of rows, as many as ``files`` (``spark.sql.shuffle.partitions`` unless given), and each
+    range is dealt to one task, which sorts it and writes one file. A key counts with all
+    its columns, so many rows that share the first are spread. ``within_files`` orders each
+    file by itself instead: rows are dealt by a hash of the first column, as reducers get
+    keys.
     """
     if order_by and within_files:
         rows = rows.repartition(order_by[0]).sortWithinPartitions(*order_by)
     elif order_by:
-        rows = rows.orderBy(*order_by)
+        rows = in_ranges(stored(rows), order_by, files)
     mode = "overwrite" if overwrite else "errorifexists"
     tsv_lines(rows).write.mode(mode).text(path)
+
+
+def in_ranges(rows: DataFrame, order_by: Sequence[str], files: int | None = None) -> DataFrame:
+    """The rows in partitions that follow each other in the order of the columns, each of
+    them sorted. Reads ``rows`` twice, the first time only the columns to order by."""
+    parts = files or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(rows, order_by, parts)
+    dealt = rows.repartitionById(parts, range_of(order_by, bounds, rows.schema))
+    return dealt.sortWithinPartitions(*(F.col(f"`{c}`") for c in order_by))
+
+
+def write_documents(documents: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Write every text as a text file of its own, the way a corpus of files comes.
+
+    A task writes a new file for every row; the names differ and carry no ids. Fails on an
+    existing path unless told to overwrite.
+    """
+    mode = "overwrite" if overwrite else "errorifexists"
+    documents.select(F.col("text").alias("value")).write.mode(mode).option(
+        "maxRecordsPerFile", 1
+    ).text(path)
+
+
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file_number, line_number, value`` of what :func:`write_tsv` has written: the
+    number that the name of a part file has, and that of the line in it, from 0.
+
+    A file is read whole by one task, so it is for files of bounded size.
+    """
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)", 1).cast("int")
+    files = spark.read.text(path, wholetext=True).select(number.alias("file_number"), "value")
+    body = F.regexp_replace("value", r"\n\z", "")
+    lines = F.posexplode(F.split(body, "\n")).alias("line_number", "value")
+    return files.filter("value <> ''").select("file_number", lines)
