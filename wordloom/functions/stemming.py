@@ -15,7 +15,8 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,18 +155,29 @@ def _stem_strings(tokens: pa.Array) -> pa.Array:
     return pa.array(stems, pa.string()).take(encoded.indices)
 
 
-def _count_stems(lists: pa.Array, stem=_remembered_stem) -> pa.Array:
+def _count_stems(lists: pa.Array, stemmed: bool = True, known: pa.Array | None = None) -> pa.Array:
     encoded = lists.flatten().dictionary_encode()
-    stems = encoded.dictionary if stem is None else [stem(t) for t in encoded.dictionary.to_pylist()]
-    stems = pa.array(stems, pa.string()).dictionary_encode()
+    stems = encoded.dictionary
+    if stemmed:
+        stems = pa.array([_remembered_stem(token) for token in stems.to_pylist()], pa.string())
+    stems = stems.dictionary_encode()
+    names = stems.dictionary
+    # Numbered in the order of the stems, so that the entries of a row come out in it.
+    order = pc.array_sort_indices(names)
+    rank = np.empty(len(names), dtype=np.int64)
+    rank[order.to_numpy()] = np.arange(len(names))
+    names = names.take(order)
     # one number per occurrence, for its row and its stem
-    codes = stems.indices.to_numpy()[encoded.indices.to_numpy()]
+    codes = rank[stems.indices.to_numpy()][encoded.indices.to_numpy()]
     rows = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-    size = max(len(stems.dictionary), 1)
+    if known is not None:
+        listed = pc.is_in(names, value_set=known).to_numpy(zero_copy_only=False)[codes]
+        codes, rows = codes[listed], rows[listed]
+    size = max(len(names), 1)
     numbers, counts = np.unique(rows * size + codes, return_counts=True)
     rows, codes = np.divmod(numbers, size)
     entries = pa.StructArray.from_arrays(
-        [stems.dictionary.take(pa.array(codes)), pa.array(counts, pa.int64())], ["term", "tf"]
+        [names.take(pa.array(codes)), pa.array(counts, pa.int64())], ["term", "tf"]
     )
     offsets = np.searchsorted(rows, np.arange(len(lists) + 1)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), entries)
@@ -176,18 +188,28 @@ def _stem(tokens: pa.Array) -> pa.Array:
     return _stem_strings(tokens)
 
 
-@F.arrow_udf(
-    T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.LongType()))
-)
+_COUNTED = T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.LongType()))
+
+
+@F.arrow_udf(_COUNTED)
 def _counts(lists: pa.Array) -> pa.Array:
     return _count_stems(lists)
 
 
-@F.arrow_udf(
-    T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.LongType()))
-)
+def counts_within(known: Broadcast[pa.Array], stemmed: bool):
+    """From an array of tokens to an array of its distinct terms (``term``, the stems or
+    the tokens themselves) with their counts (``tf``), in the order of the terms; only of
+    those that are ``known``."""
+
+    def count(lists: pa.Array) -> pa.Array:
+        return _count_stems(lists, stemmed, known.value)
+
+    return F.arrow_udf(count, _COUNTED).asNondeterministic()
+
+
+@F.arrow_udf(_COUNTED)
 def _plain_counts(lists: pa.Array) -> pa.Array:
-    return _count_stems(lists, None)
+    return _count_stems(lists, stemmed=False)
 
 
 #: Stem of a token column.

@@ -23,10 +23,12 @@ def block_of(term: Column | str, blocks: int) -> Column:
 
 
 def term_blocks(vocabulary: Listed, value: Column, blocks: int) -> DataFrame:
-    """``block, entries``: the terms of each block with a number for each."""
+    """``block, entries``: the terms of each block with a number for each. Large blocks are
+    stored."""
     rows = vocabulary.terms.select("term", value.cast("double").alias("value"))
     entries = F.map_from_entries(F.collect_list(F.struct("term", "value")))
-    return stored(rows.groupBy(block_of("term", blocks).alias("block")).agg(entries.alias("entries")))
+    found = rows.groupBy(block_of("term", blocks).alias("block")).agg(entries.alias("entries"))
+    return found if vocabulary.small else stored(found)
 
 
 def lay_over(rows: DataFrame, blocks: DataFrame, small: bool, count: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.stemming import stem_counts, stem_token, token_counts
+from wordloom.functions.stemming import counts_within, stem_counts, stem_token, token_counts
 from wordloom.functions.tokens import alnum_tokens, letter_tokens, without
 from wordloom.operators.dense import BLOCK_TERMS, block_of, lay_over, term_blocks
 from wordloom.operators.selection import (
@@ -25,8 +25,14 @@ def stem_vocabulary(corpus: DataFrame, stop_words: Words = None) -> DataFrame:
     return kept.select("token", stem_token("token").alias("term"))
 
 
-def _row_counts(corpus: DataFrame, stop_words: Sequence[str], distinct: bool = False) -> DataFrame:
-    """``doc_id, found``: the distinct stems of each row with their counts in it.
+def _row_counts(
+    corpus: DataFrame,
+    stop_words: Sequence[str],
+    distinct: bool = False,
+    vocabulary: Listed | None = None,
+) -> DataFrame:
+    """``doc_id, found``: the distinct stems of each row with their counts in it, those of
+    a small vocabulary only where one is given.
 
     Stemming row by row needs no shuffle, where a join with a stemmed vocabulary would
     move every token of the corpus. With ``distinct`` every token counts once, for callers
@@ -34,7 +40,8 @@ def _row_counts(corpus: DataFrame, stop_words: Sequence[str], distinct: bool = F
     """
     tokens = letter_tokens("text")
     tokens = without(F.array_distinct(tokens) if distinct else tokens, stop_words)
-    return corpus.select("doc_id", stem_counts(tokens).alias("found"))
+    counts = counts_within(vocabulary.sent(), True) if vocabulary else stem_counts
+    return corpus.select("doc_id", counts(tokens).alias("found"))
 
 
 def _joined_counts(corpus: DataFrame, stop_words: DataFrame) -> DataFrame:
@@ -46,10 +53,16 @@ def _joined_counts(corpus: DataFrame, stop_words: DataFrame) -> DataFrame:
     return kept.select("doc_id", stem_token("token").alias("term"), "tf")
 
 
-def _counts(corpus: DataFrame, stop_words: Words, distinct: bool = False) -> DataFrame:
+def _counts(
+    corpus: DataFrame,
+    stop_words: Words,
+    distinct: bool = False,
+    vocabulary: Listed | None = None,
+) -> DataFrame:
     if isinstance(stop_words, DataFrame):
-        return _joined_counts(corpus, stop_words)
-    rows = _row_counts(corpus, stop_words or (), distinct)
+        rows = _joined_counts(corpus, stop_words)
+        return rows.join(F.broadcast(vocabulary.terms), "term", "left_semi") if vocabulary else rows
+    rows = _row_counts(corpus, stop_words or (), distinct, vocabulary)
     return rows.select("doc_id", F.inline("found"))
 
 
@@ -97,23 +110,23 @@ def _per_block(
     """``doc_id, block, found``: a row for every document and block, with the counts of the
     document's terms that belong to the block."""
     numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    known = vocabulary if vocabulary.small else None
     if assume_unique_ids and not isinstance(stop_words, DataFrame):
-        rows = _row_counts(corpus, stop_words or ())
+        rows = _row_counts(corpus, stop_words or (), vocabulary=known)
         if blocks == 1:
             # Not a literal, with which the plan would have a join without a key.
             return rows.select("doc_id", block_of("doc_id", 1).alias("block"), "found")
         rows = rows.select("doc_id", "found", numbers)
         own = F.filter("found", lambda x: block_of(x["term"], blocks) == F.col("block"))
         return rows.select("doc_id", "block", own.alias("found"))
-    counts = _counts(corpus, stop_words)
-    if vocabulary.small:
-        counts = counts.join(F.broadcast(vocabulary.terms), "term", "left_semi")
+    counts = _counts(corpus, stop_words, vocabulary=known)
     summed = counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
     # Documents without any of the terms come from their ids alone.
     nothing = F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("tf")
-    ids = corpus.select("doc_id").distinct().select("doc_id", numbers, *nothing)
+    ids = corpus.select("doc_id") if blocks == 1 else corpus.select("doc_id").distinct()
     found = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf")))
-    rows = summed.select("doc_id", block_of("term", blocks).alias("block"), "term", "tf").unionByName(ids)
+    rows = summed.select("doc_id", block_of("term", blocks).alias("block"), "term", "tf")
+    rows = rows.unionByName(ids.select("doc_id", numbers, *nothing))
     return rows.groupBy("doc_id", "block").agg(found.alias("found"))
 
 
@@ -198,15 +211,11 @@ def keyed_term_maps(keyed: DataFrame, vocabulary: DataFrame) -> DataFrame:
     vocabulary, and what it has of them is gathered by the number.
     """
     terms = listed(vocabulary)
-    records = keyed.select("doc_id", token_counts(alnum_tokens("text")).alias("found"))
+    tokens = alnum_tokens("text")
     if terms.small:
-        # One row, and as an aggregate without groups it is there for an empty list, too.
-        whole = stored(terms.terms.agg(F.lit(0).alias("block"), F.collect_list("term").alias("known")))
-        met = records.withColumn("block", block_of("doc_id", 1)).join(F.broadcast(whole), "block")
-        hits = F.array_intersect("known", "found.term")
-        own = F.filter("found", lambda x: F.array_contains("hits", x["term"]))
-        rows = met.select("doc_id", "found", hits.alias("hits")).select("doc_id", own.alias("found"))
-        return rows.select("doc_id", F.map_from_entries(F.array_sort("found")).alias("tf"))
+        found = counts_within(terms.sent(), stemmed=False)(tokens)
+        return keyed.select("doc_id", F.map_from_entries(found).alias("tf"))
+    records = keyed.select("doc_id", token_counts(tokens).alias("found"))
     records = stored(records.withColumn("_record", F.monotonically_increasing_id()))
     counts = records.select("_record", F.inline("found"))
     kept = keep_vocabulary(counts, terms, "term", F.col("_record"))

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,13 @@ class Listed:
     def small(self) -> bool:
         return self.size <= SMALL
 
+    def sent(self) -> Broadcast[pa.Array]:
+        """The terms as a variable of the executors; for a small list."""
+        if not self.small:
+            raise ValueError(f"{self.size} bytes are too many to send")
+        terms = self.terms.select("term").toArrow().column("term").combine_chunks()
+        return self.terms.sparkSession.sparkContext.broadcast(terms)
+
 
 def listed(words: DataFrame, *more: str) -> Listed:
     """The distinct first column of ``words``, as ``term``, without nulls, and ``more`` of
