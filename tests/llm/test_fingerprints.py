@@ -3,6 +3,9 @@
 import random
 from hashlib import sha256
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import ODD
 from wordloom.llm.fingerprints import count_near, fingerprint_edited, fingerprint_report, likeness, simhash
 
@@ -21,7 +24,7 @@ def expected(rows):
 
 
 def sort(rows):
-    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
 
 
 def test_edited_texts_of_odd_rows(docs):
@@ -41,6 +44,30 @@ def test_edited_texts_over_many_ranges(spark, docs):
     assert sort(map(tuple, found)) == sort(expected(rows))
 
 
+@pytest.mark.parametrize("start", [2**53 - 3, 2**63 - 41, -(2**63)])
+def test_large_ids_and_null_ids_between_them(spark, docs, start):
+    rows = [(start + i, f"text {i} of some words " * (i % 4)) for i in range(40)]
+    rows += [(None, f"no id {i}") for i in range(3)]
+    random.Random(5).shuffle(rows)
+    assert sort(map(tuple, fingerprint_edited(docs(*rows)).collect())) == sort(expected(rows))
+
+
+def test_many_null_ids_are_spread_over_ranges(spark, docs):
+    pick = random.Random(6)
+    rows = [(None, " ".join(pick.choices("abcdefgh", k=pick.randint(0, 6)))) for _ in range(10_000)]
+    rows += [(i % 7, f"same {i % 50}") for i in range(700)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        frame = fingerprint_edited(docs(*rows))
+        found = frame.collect()
+        sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sort(map(tuple, found)) == sort(expected(rows))
+    assert max(sizes) < 0.25 * len(rows)
+
+
 def test_radius_search_finds_all(spark):
     pick = random.Random(1)
     centres = [pick.getrandbits(64) for _ in range(20)]

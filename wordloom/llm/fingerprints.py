@@ -6,7 +6,6 @@ from hashlib import sha256
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +13,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from wordloom.llm.common import schema_of, stored
 from wordloom.llm.shingles import shingle_hashes, word_hashes, words_of
+from wordloom.ordering import range_bounds, range_of
 
 BITS = 64
 _CHUNK = 1 << 15
+_HEAD = 64  # characters of a text that tell rows of one id apart
 
 
 def simhash(text: str, shingle: int = 5) -> int:
@@ -52,62 +53,42 @@ def fingerprint_edited(
     first document follows the last. A null text is an empty one. Fingerprints are 16 hex
     digits.
 
-    Rows are dealt by ranges of ids, found as quantiles over the ids alone. The first row
-    of each range is sent to the range before it as well, so a range has all it needs;
-    the text is shuffled once. Tasks read their sorted rows as a stream.
+    Rows are dealt by ranges of ids and, where ids are null or repeat, of the beginnings of
+    the texts, found from a summary of those. The first row of each range is sent to the
+    range before it as well, so a range has all it needs; the text is shuffled once. Tasks
+    read their sorted rows as a stream.
     """
     spark = documents.sparkSession
+    key = F.col(id_column).cast("long")
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    order = ["no_id", "falling", "head"]
     rows = documents.select(
-        F.col(id_column).cast("long").alias("_key"),
-        F.col(id_column).alias("_id"),
-        F.coalesce(F.col(text_column), F.lit("")).alias("_text"),
+        key.isNull().alias("no_id"),
+        F.bitwise_not(key).alias("falling"),  # -1 - id, which every long has
+        F.substring(text, 1, _HEAD).alias("head"),
+        F.col(id_column).alias("id"),
+        text.alias("text"),
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shares = [n / parts for n in range(1, parts)]
-    cuts = rows.approxQuantile("_key", shares, 1 / (8 * parts)) if shares else []
-    bounds = np.unique(np.array(cuts, dtype=np.float64)).astype(np.int64)
-
-    def range_of(keys: pd.Series) -> np.ndarray:
-        """Ranges by falling id; the last one also has the null ids."""
-        known = keys.notna().to_numpy()
-        place = np.full(len(keys), len(bounds), dtype=np.int32)
-        place[known] = len(bounds) - np.searchsorted(
-            bounds, keys[known].to_numpy(dtype=np.int64), side="right"
-        )
-        return place
-
-    @F.pandas_udf("int")
-    def number(keys: pd.Series) -> pd.Series:
-        return pd.Series(range_of(keys))
+    bounds = range_bounds(rows, order, parts)
+    rows = rows.withColumn("range", range_of(order, bounds, rows.schema))
 
     # At most one row per range, whatever the size of the table.
-    firsts = (
-        rows.select(number("_key").alias("range"), "_key")
-        .groupBy("range")
-        .agg(F.max("_key").alias("first"))
-        .orderBy("range")
-        .collect()
+    found = rows.groupBy("range").agg(F.min(F.struct(*order)).alias("first")).collect()
+    firsts = sorted((row["range"], tuple(row["first"])) for row in found)
+    told = spark.createDataFrame(
+        [(place, firsts[i - 1][0], first) for i, (place, first) in enumerate(firsts)],
+        "range int, before int, first struct<no_id:boolean,falling:long,head:string>",
     )
-    order = [row["range"] for row in firsts]
-    before = {row["range"]: order[i - 1] for i, row in enumerate(firsts)}
-    first_key = {row["range"]: row["first"] for row in firsts}
-
-    @F.pandas_udf("array<struct<range:int,extra:int>>")
-    def places(keys: pd.Series) -> pd.Series:
-        found = []
-        for place, key in zip(range_of(keys).tolist(), keys.tolist()):
-            first = first_key[place]
-            copy = first == key or (first is None and pd.isna(key))
-            found.append(
-                [{"range": place, "extra": 0}] + [{"range": before[place], "extra": 1}] * copy
-            )
-        return pd.Series(found)
-
+    number = lambda place, extra: F.struct(place.alias("range"), F.lit(extra).alias("extra"))
+    own = number(F.col("range"), 0)
+    is_first = F.struct(*order).eqNullSafe(F.col("first"))
+    places = F.when(is_first, F.array(own, number(F.col("before"), 1))).otherwise(F.array(own))
     dealt = (
-        rows.withColumn("_place", F.explode(places("_key")))
-        .select("_place.*", "_key", "_id", "_text")
-        .repartitionById(max(1, len(bounds) + 1), F.col("range"))
-        .sortWithinPartitions("range", "extra", F.desc_nulls_last("_key"), "_text")
+        rows.join(F.broadcast(told), "range")
+        .select(F.inline(places), "no_id", "falling", "id", "text")
+        .repartitionById(len(bounds) + 1, F.col("range"))
+        .sortWithinPartitions("range", "extra", "no_id", "falling", "text")
     )
 
     def facts(row, following):
@@ -129,7 +110,7 @@ def fingerprint_edited(
         waiting, current, done = None, None, []
         for batch in batches:
             for place, extra, identity, text in zip(
-                *(batch.column(c).to_pylist() for c in ("range", "extra", "_id", "_text"))
+                *(batch.column(c).to_pylist() for c in ("range", "extra", "id", "text"))
             ):
                 if place != current:
                     waiting, current = None, place
@@ -157,7 +138,7 @@ def fingerprint_edited(
         near_next="double",
     )
     arrow_schema = to_arrow_schema(schema)
-    return dealt.select("range", "extra", "_id", "_text").mapInArrow(compare, schema)
+    return dealt.select("range", "extra", "id", "text").mapInArrow(compare, schema)
 
 
 def count_near(
