@@ -1,9 +1,8 @@
-"""What the operators share: tables, intermediate results, batches of texts."""
+"""What the operators share: tables, names, batches of texts; and the stored tables of
+the library, by the names they are known by here."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,39 +12,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordloom.storage import shared_folder, stored
+
+
+__all__ = [
+    "free_names", "membership", "schema_of", "shared_folder", "stored", "table", "text_slices",
+]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the Parquet tables of a folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate results that all executors reach.
-
-    It is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (one machine, tests) a temporary folder is made and set.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder:
-        known = context._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            return known.get()
-        folder = f"file://{tempfile.mkdtemp(prefix='wordloom-')}"
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def stored(frame: DataFrame) -> DataFrame:
-    """The rows written as Parquet to the shared folder and read from there.
-
-    Cuts the lineage: a lost executor costs no more than the tasks that read the table.
-    """
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+def free_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names for columns of one's own, like those wanted, that differ from all taken ones
+    however these are written."""
+    used = {name.lower() for name in taken}
+    found = []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        found.append(name)
+    return found
 
 
 def schema_of(frame: DataFrame, columns: Iterable[str], **more: str) -> T.StructType:

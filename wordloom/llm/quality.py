@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.common import free_names
+
 BLANKS = " \t\n\x0b\f\r"
 _WORD = r"[^\x20\x09-\x0D]"
 _BREAK = r"[\x20\x09-\x0D]+"
@@ -36,12 +38,20 @@ class LineRules:
     short_chars: int = 200
     navigation: str = (
         r"^\W*(home|menu|log ?in|sign (in|up)|search|next|previous|back to top|"
-        r"skip to content|read more|share this|contact( us)?|about us|site ?map)\W*$"
+        r"skip to content|read more|share this|contact( us)?|about us|site ?map|"
+        r"accueil|connexion|rechercher|suivant|précédent|haut de page|lire la suite|"
+        r"partager|contactez-nous|plan du site|startseite|anmelden|suche|weiter|zurück|"
+        r"nach oben|weiterlesen|teilen|kontakt|impressum|inicio|iniciar sesión|buscar|"
+        r"siguiente|anterior|volver arriba|leer más|compartir|contacto|mapa del sitio)\W*$"
     )
     boilerplate: str = (
         r"all rights reserved|terms of (use|service)|privacy policy|cookie policy|"
         r"(use|accept)s? cookies|enable javascript|licensed under the|"
-        r"copyright (©|\(c\)|[0-9]{4})"
+        r"copyright (©|\(c\)|[0-9]{4})|tous droits réservés|conditions d.utilisation|"
+        r"politique de confidentialité|utilise des cookies|alle rechte vorbehalten|"
+        r"nutzungsbedingungen|datenschutzerklärung|verwendet cookies|"
+        r"todos los derechos reservados|términos (de uso|y condiciones)|"
+        r"política de (privacidad|cookies)|utiliza cookies"
     )
     lost_percent: int = 50
 
@@ -51,16 +61,21 @@ def _bind(value: Column, use) -> Column:
 
 
 def _fails(line: Column, rules: LineRules) -> Column:
-    solid = F.translate(line, BLANKS, "")
-    size = F.char_length(solid)
-    signs = size - F.char_length(F.translate(solid, rules.separators, ""))
-    short = F.char_length(line) <= rules.short_chars
-    lower = F.lower(line)
+    """The cheap tests come first, and what is left undecided is looked at more closely."""
+    chars = F.char_length(line)
+    size = F.char_length(F.translate(line, BLANKS, ""))
+    signs = chars - F.char_length(F.translate(line, rules.separators, ""))
+    phrase = F.lower(line).rlike(f"{rules.navigation}|{rules.boilerplate}")
     return (
-        (signs * 100 > size * rules.symbol_percent)
-        | ((size > rules.unpunctuated_chars) & ~line.rlike(r"\p{P}"))
-        | ((size > rules.capital_chars) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}"))
-        | (short & (lower.rlike(rules.navigation) | lower.rlike(rules.boilerplate)))
+        ((signs > 0) & (signs * 100 > size * rules.symbol_percent))
+        | ((chars > rules.unpunctuated_chars) & ~line.rlike(r"\p{P}") & (size > rules.unpunctuated_chars))
+        | (
+            (chars > rules.capital_chars)
+            & ~line.rlike(r"\p{Ll}")
+            & line.rlike(r"\p{Lu}")
+            & (size > rules.capital_chars)
+        )
+        | ((chars <= rules.short_chars) & phrase)
     )
 
 
@@ -102,59 +117,62 @@ def clean_lines(
     Its fields: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` of the
     whole text, ``lost_chars`` (characters of words in failing lines), ``base_failed`` (too
     few words or too many repeated ones), ``kept``, and ``cleaned``, the text without its
-    failing lines. A column named ``quality`` is replaced.
+    failing lines. A column named ``quality`` is replaced; others may have any names.
 
-    A null text counts as an empty one: no words, so the base rule rejects it. Windows and
-    lines of one text are compared by 64-bit hashes. The work grows with n log n words of
+    A null text counts as an empty one: no words, so the base rule rejects it. Windows of
+    one text are compared by 64-bit hashes. The work grows with n log n words of
     a text, a row is never split.
     """
     rules = rules or LineRules()
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    inner = F.btrim(text, F.lit(BLANKS))
-    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(
-        F.split(inner, _BREAK)
+    # Names that the caller's columns do not have.
+    text, words, lines, windows, judged, repeated = free_names(
+        documents.columns, "text", "words", "lines", "windows", "judged", "repeated"
+    )
+    rows = documents.withColumn(text, F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    inner = F.btrim(F.col(text), F.lit(BLANKS))
+    none = F.array().cast("array<string>")
+    rows = rows.withColumns(
+        {
+            words: F.when(inner == "", none).otherwise(F.split(inner, _BREAK)),
+            lines: F.split(text, "\n"),
+        }
     )
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    windows = _bind(
-        hashes,
-        lambda a: F.transform(
-            F.slice(a, F.lit(1), F.greatest(F.size(a) - 2, F.lit(0))),
-            lambda h, i: F.xxhash64(h, F.get(a, i + 1), F.get(a, i + 2)),
-        ),
+    windows_of = lambda a: F.transform(
+        F.slice(a, F.lit(1), F.greatest(F.size(a) - 2, F.lit(0))),
+        lambda h, i: F.xxhash64(h, F.get(a, i + 1), F.get(a, i + 2)),
     )
-    lines = F.split(text, "\n")
-    filled = F.transform(F.filter(lines, lambda x: x.rlike(_WORD)), lambda x: F.xxhash64(x))
-    failing = F.filter(lines, lambda x: _fails(x, rules))
-    count = lambda c: c.cast("long").alias
-    facts = documents.withColumns(
+    rows = rows.withColumns(
         {
-            "_windows": windows,
-            "_filled": filled,
-            "_lost": F.char_length(F.translate(F.array_join(failing, ""), BLANKS, "")),
-            "_cleaned": F.array_join(F.filter(lines, lambda x: ~_fails(x, rules)), "\n"),
-            "_n_words": F.when(inner == "", 0).otherwise(F.regexp_count(inner, F.lit(_BREAK)) + 1),
-            "_chars": F.char_length(F.translate(text, BLANKS, "")),
-            "_symbols": F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, "")),
+            windows: _bind(hashes, windows_of),
+            # Lines are judged once, whether they are counted or kept or both.
+            judged: F.transform(lines, lambda x: F.struct(x.alias("line"), _fails(x, rules).alias("fails"))),
         }
     )
-    facts = facts.withColumn("_repeated", _repeated_words(F.col("_windows")))
-    base_failed = (F.col("_n_words") < min_words) | (
-        F.col("_repeated") * 100 > F.col("_n_words") * repeat_percent
-    )
-    too_much = F.col("_lost") * 100 > F.col("_chars") * rules.lost_percent
+    rows = rows.withColumn(repeated, _repeated_words(F.col(windows)))
+    # A line without a word is blank; blank lines are no copies of each other.
+    exact = F.filter(lines, lambda x: F.btrim(x, F.lit(BLANKS)) != "")
+    failing = F.filter(judged, lambda x: x["fails"])["line"]
+    passing = F.filter(judged, lambda x: ~x["fails"])["line"]
+    n_words = F.size(words)
+    word_chars = F.char_length(F.array_join(words, ""))
+    lost = F.char_length(F.translate(F.array_join(failing, ""), BLANKS, ""))
+    base_failed = (n_words < min_words) | (F.col(repeated) * 100 > n_words * repeat_percent)
+    too_much = lost * 100 > word_chars * rules.lost_percent
     quality = F.struct(
-        count(F.col("_n_words"))("n_words"),
-        count(F.col("_chars"))("word_chars"),
-        count(F.col("_symbols"))("n_symbols"),
-        count(F.size("_filled") - F.size(F.array_distinct("_filled")))("n_dup_lines"),
-        count(F.col("_repeated"))("n_repeat_words"),
-        count(F.col("_lost"))("lost_chars"),
+        n_words.cast("long").alias("n_words"),
+        word_chars.cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
+        (F.size(exact) - F.size(F.array_distinct(exact))).cast("long").alias("n_dup_lines"),
+        F.col(repeated).cast("long").alias("n_repeat_words"),
+        lost.cast("long").alias("lost_chars"),
         base_failed.alias("base_failed"),
         (~base_failed & ~too_much).alias("kept"),
-        F.col("_cleaned").alias("cleaned"),
+        F.array_join(passing, "\n").alias("cleaned"),
     )
-    columns = [c for c in documents.columns if c != "quality"]
-    return facts.select(*columns, quality.alias("quality"))
+    columns = [F.col(f"`{c}`") for c in documents.columns if c != "quality"]
+    # Unfolded from an array of one, so that a filter on it does not compute it again.
+    return rows.select(*columns, F.explode(F.array(quality)).alias("quality"))
 
 
 CHECK_SQL = r"""
@@ -171,8 +189,8 @@ lost as (
   where 100 * length(regexp_replace(solid, '[^#*$%&|<>»›•·]', '', 'g')) > 5 * length(solid)
     or (length(solid) > 400 and not regexp_matches(line, '\p{P}'))
     or (length(solid) > 20 and regexp_matches(line, '\p{Lu}') and not regexp_matches(line, '\p{Ll}'))
-    or (length(line) <= 200 and regexp_matches(lower(line), '^\W*(home|menu|log ?in|sign (in|up)|search|next|previous|back to top|skip to content|read more|share this|contact( us)?|about us|site ?map)\W*$'))
-    or (length(line) <= 200 and regexp_matches(lower(line), 'all rights reserved|terms of (use|service)|privacy policy|cookie policy|(use|accept)s? cookies|enable javascript|licensed under the|copyright (©|\(c\)|[0-9]{4})'))
+    or (length(line) <= 200 and regexp_matches(lower(line), '^\W*(home|menu|log ?in|sign (in|up)|search|next|previous|back to top|skip to content|read more|share this|contact( us)?|about us|site ?map|accueil|connexion|rechercher|suivant|précédent|haut de page|lire la suite|partager|contactez-nous|plan du site|startseite|anmelden|suche|weiter|zurück|nach oben|weiterlesen|teilen|kontakt|impressum|inicio|iniciar sesión|buscar|siguiente|anterior|volver arriba|leer más|compartir|contacto|mapa del sitio)\W*$'))
+    or (length(line) <= 200 and regexp_matches(lower(line), 'all rights reserved|terms of (use|service)|privacy policy|cookie policy|(use|accept)s? cookies|enable javascript|licensed under the|copyright (©|\(c\)|[0-9]{4})|tous droits réservés|conditions d.utilisation|politique de confidentialité|utilise des cookies|alle rechte vorbehalten|nutzungsbedingungen|datenschutzerklärung|verwendet cookies|todos los derechos reservados|términos (de uso|y condiciones)|política de (privacidad|cookies)|utiliza cookies'))
   group by doc_id),
 positions as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from words),
 windows as (
