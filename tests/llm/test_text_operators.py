@@ -244,6 +244,7 @@ def test_sampling_of_odd_rows(docs):
 def test_backoff_scores_equal_brute_force(docs, order):
     pick = random.Random(order)
     texts = [(n, " ".join(pick.choices("abcdefg", k=pick.randint(0, 30)))) for n in range(60)] + ODD
+    texts += [(7, "a b c a b")] * 40 + [(None, "c d e")] * 40  # dealt over blocks all the same
     found = backoff_scores(docs(*texts), order, block_chars=400, part_words=50).collect()
     words = [(i, (t or "").lower().split()) for i, t in texts]
     counts = [Counter() for _ in range(order + 1)]

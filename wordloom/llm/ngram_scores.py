@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import schema_of
+from wordloom.llm.packed import pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from wordloom.llm.shingles import shingle_hashes, word_hashes, words_of
 
 
 class _Block:
-    """The n-grams of some documents: for each order the distinct ones, sorted by hash
-    partition and hash, and for each position its n-gram (-1: the document is too short)."""
+    """The n-grams of some documents: for each order the distinct ones in the order of
+    their hashes, and for each position its n-gram (-1: the document is too short)."""
 
-    def __init__(self, texts: list[str], order: int, parts: int):
+    def __init__(self, texts: list[str], order: int):
         words = [words_of(text or "") for text in texts]
         self.sizes = np.array([len(w) for w in words], dtype=np.int64)
         self.document = np.repeat(np.arange(len(words)), self.sizes)
@@ -25,7 +26,7 @@ class _Block:
             np.cumsum(self.sizes) - self.sizes, self.sizes
         )
         hashes = np.concatenate([word_hashes(w) for w in words] or [np.zeros(0, np.uint64)])
-        self.grams, self.counts, self.starts, self.at = [], [], [], []
+        self.grams, self.counts, self.at = [], [], []
         for size in range(1, order + 1):
             at = np.full(len(hashes), -1, dtype=np.int64)
             ends = np.flatnonzero(self.place >= size - 1)
@@ -33,22 +34,27 @@ class _Block:
                 shingle_hashes(hashes, size)[ends - size + 1] if len(ends) else hashes[:0]
             )
             distinct, inverse, counts = np.unique(found, return_inverse=True, return_counts=True)
-            part = (distinct % np.uint64(parts)).astype(np.int64)
-            by_part = np.argsort(part, kind="stable")
-            moved = np.empty_like(by_part)
-            moved[by_part] = np.arange(len(by_part))
-            at[ends] = moved[inverse]
-            self.grams.append(distinct[by_part])
-            self.counts.append(counts[by_part])
-            self.starts.append(np.searchsorted(part[by_part], np.arange(parts + 1)))
+            at[ends] = inverse
+            self.grams.append(distinct)
+            self.counts.append(counts)
             self.at.append(at)
 
+    def starts(self, size: int, parts: int) -> np.ndarray:
+        """Where each of equal ranges of hashes begins among the n-grams."""
+        edges = [part * 2**64 // parts for part in range(parts)]
+        places = np.searchsorted(self.grams[size - 1], np.array(edges, dtype=np.uint64))
+        return np.append(places, len(self.grams[size - 1]))
+
     def own(self, size: int) -> np.ndarray:
         """For every position how often its n-gram occurs in its document."""
         at = self.at[size - 1]
-        pair = self.document * (len(self.grams[size - 1]) + 1) + at + 1
+        own = np.ones(len(at), dtype=np.int64)
+        # What the block has once its document has once.
+        often = np.flatnonzero((at >= 0) & (self.counts[size - 1][at] > 1)) if len(self.counts[size - 1]) else at[:0]
+        pair = self.document[often] * len(self.grams[size - 1]) + at[often]
         _, inverse, counts = np.unique(pair, return_inverse=True, return_counts=True)
-        return counts[inverse]
+        own[often] = counts[inverse]
+        return own
 
 
 def backoff_scores(
@@ -70,12 +76,14 @@ def backoff_scores(
     without words. Words are lower-cased in A-Z; null texts have none, repeated rows and
     null ids are kept, other columns are not read.
 
-    Documents are dealt by hash into blocks of about ``block_chars`` characters. A block
-    sends its distinct n-grams with their counts, one row for each hash partition of the
-    count tables; there all counts of an n-gram meet (one for each block, however frequent
-    it is), are summed, joined to what each block has sent, and go back to the blocks, which
-    add up the scores of their documents. Blocks and partitions grow in number with the
-    corpus and not in size.
+    Documents are dealt into blocks of about ``block_chars`` characters, by a hash of id
+    and text and, for rows that repeat both, of their place in the input. A block sends its
+    distinct n-grams with their counts, one row for each hash partition of the count tables,
+    a range of hashes: sorted, as differences, six bytes or so each. There all counts of an
+    n-gram meet (one for each block, however frequent it is), are summed, joined to what
+    each block has sent, and go back, without hashes and less what the block itself has,
+    mostly zeros. The blocks add up the scores of their documents. Blocks and partitions
+    grow in number with the corpus and not in size.
     """
     rows = documents.select(
         F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text")
@@ -83,47 +91,52 @@ def backoff_scores(
     chars = rows.agg(F.sum(F.char_length("_text").cast("long"))).first()[0] or 0
     blocks = max(1, ceil(chars / block_chars))
     parts = max(1, ceil(chars / 6 * order / part_words))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)).cast("int"))
+    place = F.monotonically_increasing_id()
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("_id", "_text", place), F.lit(blocks)).cast("int"))
 
     def ask(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        block = _Block(group["_text"].to_pylist(), order, parts)
+        block = _Block(group["_text"].to_pylist(), order)
         orders, numbers, grams, counts = [], [], [], []
-        for n, starts in enumerate(block.starts):
+        for size in range(1, order + 1):
+            starts = block.starts(size, parts)
             for part in np.flatnonzero(np.diff(starts)).tolist():
-                orders.append(n + 1)
+                some = slice(starts[part], starts[part + 1])
+                orders.append(size)
                 numbers.append(part)
-                grams.append(block.grams[n][starts[part] : starts[part + 1]].view(np.int64))
-                counts.append(block.counts[n][starts[part] : starts[part + 1]])
+                grams.append(pack_sorted(block.grams[size - 1][some]))
+                counts.append(pack_counts(block.counts[size - 1][some]))
         return pa.table(
             {
                 "block": pa.array([key[0].as_py()] * len(orders), pa.int32()),
                 "size": pa.array(orders, pa.int32()),
                 "part": pa.array(numbers, pa.int32()),
-                "grams": pa.array(grams, pa.list_(pa.int64())),
-                "counts": pa.array(counts, pa.list_(pa.int64())),
+                "grams": pa.array(grams, pa.binary()),
+                "counts": pa.array(counts, pa.binary()),
             }
         )
 
     def total(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         """The count table of a partition, joined to the n-grams asked for."""
-        group = group.combine_chunks()
-        grams = group["grams"].combine_chunks()
-        counts = group["counts"].combine_chunks()
-        _, inverse = np.unique(grams.flatten().to_numpy(), return_inverse=True)
-        table = np.bincount(inverse, weights=counts.flatten().to_numpy()).astype(np.int64)
-        totals = pa.ListArray.from_arrays(
-            pa.array(np.append(0, np.cumsum(grams.value_lengths().to_numpy())), pa.int32()),
-            pa.array(table[inverse]),
-        )
+        grams = [unpack_sorted(x) for x in group["grams"].to_pylist()]
+        counts = [unpack_counts(x) for x in group["counts"].to_pylist()]
+        _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+        every = np.concatenate(counts)
+        table = np.bincount(inverse, weights=every).astype(np.int64)
+        elsewhere = np.split(table[inverse] - every, np.cumsum([len(x) for x in grams])[:-1])
         return pa.table(
-            {"block": group["block"], "size": group["size"], "part": group["part"], "totals": totals}
+            {
+                "block": group["block"],
+                "size": group["size"],
+                "part": group["part"],
+                "elsewhere": pa.array([pack_counts(x) for x in elsewhere], pa.binary()),
+            }
         )
 
     asked = dealt.groupBy("block").applyInArrow(
-        ask, "block int, size int, part int, grams array<long>, counts array<long>"
+        ask, "block int, size int, part int, grams binary, counts binary"
     )
     answers = asked.groupBy("size", "part").applyInArrow(
-        total, "block int, size int, part int, totals array<long>"
+        total, "block int, size int, part int, elsewhere binary"
     )
     schema = schema_of(
         documents,
@@ -136,12 +149,11 @@ def backoff_scores(
     n_words = _count_words(rows)
 
     def score(key: tuple[pa.Scalar, ...], texts: pa.Table, answered: pa.Table) -> pa.Table:
-        block = _Block(texts["_text"].to_pylist(), order, parts)
-        found = [np.zeros(len(grams), dtype=np.int64) for grams in block.grams]
-        sizes, numbers = answered["size"].to_pylist(), answered["part"].to_pylist()
-        for size, part, totals in zip(sizes, numbers, answered["totals"]):
-            starts = block.starts[size - 1]
-            found[size - 1][starts[part] : starts[part + 1]] = totals.values.to_numpy()
+        block = _Block(texts["_text"].to_pylist(), order)
+        found = [counts.astype(np.int64) for counts in block.counts]
+        starts = [block.starts(size, parts) for size in range(1, order + 1)]
+        for size, part, data in zip(*(answered[c].to_pylist() for c in ("size", "part", "elsewhere"))):
+            found[size - 1][starts[size - 1][part] : starts[size - 1][part + 1]] += unpack_counts(data)
         others = []
         for size in range(1, order + 1):
             at = block.at[size - 1]
