@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tests.llm.conftest import ODD
+from wordloom.llm import jaccard
 from wordloom.llm.components import components
 from wordloom.llm.jaccard import jaccard_components, one_of_each
 
@@ -47,6 +48,45 @@ def family(pick, base, changes):
     return " ".join(words)
 
 
+def test_common_passages_and_lines_make_no_candidates(spark, docs, monkeypatch):
+    """What many documents share is never among the rarest n-grams of a text that has
+    others; short texts that are made of it are still linked."""
+    pick = random.Random(9)
+    passage = [f"p{n}" for n in range(60)]
+    rows = [(i, " ".join([f"d{i}w{n}" for n in range(100)] + passage)) for i in range(300)]
+    rows += [(1000 + i, " ".join(passage[: 50 + i % 3])) for i in range(30)]
+    rows += [(2000 + i, f"all rights reserved by the owner of page {pick.randint(0, 9)}") for i in range(60)]
+    verified = []
+    keep = jaccard._verified
+
+    def counted(pairs, *rest):
+        verified.append(pairs.count())
+        return keep(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    found = jaccard_components(docs(*rows), 5, 80)
+    assert sort(map(tuple, found.collect())) == sort(expected(rows, 5, 80))
+    assert sum(verified) < 200  # not 300 * 300
+
+
+def test_blocks_and_partitions_give_the_same_prefixes(docs):
+    """However documents are dealt, an n-gram has one rank: that of its whole frequency."""
+    pick = random.Random(2)
+    rows = [(i, " ".join(pick.choices("abcdefgh", k=pick.randint(0, 40)))) for i in range(200)] + ODD
+    frame = docs(*rows).selectExpr("doc_id as _id", "coalesce(text, '') as text")
+    columns = ["_id", "key", "n", "prefix", "places"]
+    one = jaccard.signatures(frame, 2, 80).select(columns).collect()
+    many = jaccard.signatures(frame, 2, 80, block_chars=300, part_grams=40).select(columns).collect()
+    assert sorted(one, key=repr) == sorted(many, key=repr)
+    frequency = {}
+    for _, text in rows:
+        for gram in jaccard.shingle_set(text or "", 2).view("int64").tolist():
+            frequency[gram] = frequency.get(gram, 0) + 1
+    for row in one:
+        counts = [frequency[gram] for gram in row["prefix"]]
+        assert counts == sorted(counts) and all(n > 1 for n in counts)
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80), (1, 50)])
 def test_components_equal_all_pairs(docs, size, percent):
     pick = random.Random(size)

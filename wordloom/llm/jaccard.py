@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import membership, schema_of, stored, text_slices
+from wordloom.llm.common import free_names, membership, schema_of, stored
 from wordloom.llm.components import components
+from wordloom.llm.packed import pack_counts, pack_sorted, unpack_counts, unpack_sorted
 from wordloom.llm.shingles import mix64, shingle_hashes, word_hashes, words_of
 
-_SEGMENT = 1024
 _WORDS = 8  # of 64 bits in a parity sketch
 _SKETCH = [f"s{k}" for k in range(_WORDS)]
 
@@ -31,92 +32,116 @@ def _set_key(grams: np.ndarray) -> int:
         return int(mix64(np.array([one ^ mix64(np.array([two + np.uint64(len(grams))]))[0]]))[0])
 
 
-def gram_frequencies(documents: DataFrame, size: int, bits: int = 21) -> np.ndarray:
-    """For every hash place of n-grams the number of documents that hold one, as log2.
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Numbers of documents in a byte that keeps their order: above 128 as logarithms."""
+    return np.where(counts <= 128, counts, 121 + np.ceil(np.log2(np.maximum(counts, 1)))).astype(np.int64)
 
-    All documents count. The table has ``2 ** bits`` places of a byte, however many
-    n-grams there are: it only sets the order of n-grams, whose quality, not whose result,
-    falls as places fill. Each task sends its table in segments, which are summed by Spark.
-    """
-    width = 1 << bits
-
-    def count(batches):
-        total = np.zeros(width, dtype=np.uint32)
-        for _, texts in text_slices(batches):
-            for text in texts:
-                places = (shingle_set(text, size) >> np.uint64(64 - bits)).astype(np.int64)
-                np.add.at(total, places, np.uint32(1))
-        parts = total.reshape(-1, _SEGMENT)
-        used = np.flatnonzero(parts.any(axis=1))
-        for begin in range(0, len(used), 256):
-            chosen = used[begin : begin + 256]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chosen), pa.array([row.astype("<u4").tobytes() for row in parts[chosen]])],
-                names=["segment", "counts"],
-            )
 
-    def add(group: pa.Table) -> pa.Table:
-        total = np.zeros(_SEGMENT, dtype=np.int64)
-        for counts in group["counts"]:
-            total += np.frombuffer(counts.as_buffer(), dtype="<u4")
-        levels = np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()
-        return pa.table({"segment": group["segment"][:1], "levels": pa.array([levels], pa.binary())})
-
-    sums = (
-        documents.mapInArrow(count, "segment long, counts binary")
-        .groupBy("segment")
-        .applyInArrow(add, "segment long, levels binary")
-        .toArrow()
-    )
-    levels = np.zeros((width // _SEGMENT, _SEGMENT), dtype=np.uint8)
-    for segment, found in zip(sums["segment"].to_pylist(), sums["levels"].to_pylist()):
-        levels[segment] = np.frombuffer(found, dtype=np.uint8)
-    return levels.reshape(-1)
+class _Sets:
+    """The n-gram sets of some documents, one after the other, and all their n-grams."""
 
+    def __init__(self, texts: list[str], size: int, parts: int):
+        self.sets = [shingle_set(text or "", size) for text in texts]
+        every = np.concatenate(self.sets or [np.zeros(0, np.uint64)])
+        self.grams, self.at, self.counts = np.unique(every, return_inverse=True, return_counts=True)
+        edges = np.array([part * 2**64 // parts for part in range(parts)], dtype=np.uint64)
+        self.starts = np.append(np.searchsorted(self.grams, edges), len(self.grams))
 
-def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) -> DataFrame:
-    """``_id, key, n, prefix, wide, s0 ... s7`` of every row of ``documents`` (``_id, text``).
 
-    ``key`` identifies the set, ``n`` is its size. ``prefix`` has the rarest n-grams, as
-    many as leave too few others for an overlap that is enough; ``s0`` to ``s7`` hold for
-    512 classes of hashes whether the number of n-grams in it is odd, ``wide`` for about as
-    many classes as there are n-grams if those are more than 512.
+def signatures(
+    documents: DataFrame,
+    size: int,
+    percent: int,
+    block_chars: int = 8_000_000,
+    part_grams: int = 4_000_000,
+) -> DataFrame:
+    """``_id, key, n, prefix, places, wide, s0 ... s7`` of every row of ``documents``
+    (``_id, text``).
+
+    ``key`` identifies the set, ``n`` is its size. Its n-grams are ordered by the number of
+    documents that hold them; of the rarest, as many as leave too few others for an overlap
+    that is enough, ``prefix`` has those that another document holds as well, ``places``
+    their ranks among all of the set. ``s0`` to ``s7`` hold for 512 classes of hashes
+    whether the number of n-grams in it is odd, ``wide`` for about as many classes as there
+    are n-grams if those are more than 512.
+
+    The numbers of documents are those of the whole corpus, at any size. Documents are dealt
+    into blocks of about ``block_chars`` characters. A block sends its distinct n-grams,
+    sorted and as differences, with their counts to partitions of the table of frequencies
+    (ranges of hashes, of ``part_grams`` or so); what comes back is a byte for each.
     """
-    levels = documents.sparkSession.sparkContext.broadcast(
-        gram_frequencies(documents, size, bits)
-    )
+    rows = documents.select("_id", "text")
+    chars = rows.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
+    blocks = max(1, ceil(chars / block_chars))
+    parts = max(1, ceil(chars / 6 / part_grams))
+    # Rows that repeat id and text, or have neither, are dealt by their place in the input.
+    place = F.xxhash64("_id", "text", F.monotonically_increasing_id())
+    dealt = rows.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int"))
+
+    def ask(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        block = _Sets(group["text"].to_pylist(), size, parts)
+        used = np.flatnonzero(np.diff(block.starts)).tolist()
+        cut = [slice(block.starts[part], block.starts[part + 1]) for part in used]
+        return pa.table(
+            {
+                "block": pa.array([key[0].as_py()] * len(used), pa.int32()),
+                "part": pa.array(used, pa.int32()),
+                "grams": pa.array([pack_sorted(block.grams[x]) for x in cut], pa.binary()),
+                "counts": pa.array([pack_counts(block.counts[x]) for x in cut], pa.binary()),
+            }
+        )
 
-    def sign(batches):
-        rank = levels.value.astype(np.uint64) << np.uint64(56)
-        for batch, texts in text_slices(batches):
-            keys, sizes, prefixes, sketches, wide = [], [], [], [], []
-            for text in texts:
-                grams = shingle_set(text, size)
-                n = len(grams)
-                order = rank[(grams >> np.uint64(64 - bits)).astype(np.int64)] | (
-                    grams >> np.uint64(8)
-                )
-                length = n - -(-percent * n // 100) + 1 if n else 0
-                rarest = np.argsort(order, kind="stable")[:length]
-                counts = np.bincount(
-                    (grams % np.uint64(64 * _WORDS)).astype(np.int64), minlength=64 * _WORDS
-                )
-                keys.append(np.uint64(_set_key(grams)).astype(np.int64))
-                sizes.append(n)
-                prefixes.append(grams[rarest].view(np.int64))
-                sketches.append(np.packbits(counts % 2 == 1).view("<i8"))
-                wide.append(_parities(grams, 1 << n.bit_length()) if n > 64 * _WORDS else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("_id"),
-                    pa.array(keys, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(wide, pa.binary()),
-                    *(pa.array(column, pa.int64()) for column in np.transpose(sketches)),
-                ],
-                names=["_id", "key", "n", "prefix", "wide", *_SKETCH],
+    def total(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        grams = [unpack_sorted(x) for x in group["grams"].to_pylist()]
+        counts = np.concatenate([unpack_counts(x) for x in group["counts"].to_pylist()])
+        _, inverse = np.unique(np.concatenate(grams), return_inverse=True)
+        levels = _level(np.bincount(inverse, weights=counts))[inverse]
+        answers = np.split(levels, np.cumsum([len(x) for x in grams])[:-1])
+        return pa.table(
+            {
+                "block": group["block"],
+                "part": group["part"],
+                "levels": pa.array([pack_counts(x) for x in answers], pa.binary()),
+            }
+        )
+
+    asked = dealt.groupBy("block").applyInArrow(ask, "block int, part int, grams binary, counts binary")
+    answers = asked.groupBy("part").applyInArrow(total, "block int, part int, levels binary")
+
+    def sign(key: tuple[pa.Scalar, ...], texts: pa.Table, answered: pa.Table) -> pa.Table:
+        block = _Sets(texts["text"].to_pylist(), size, parts)
+        levels = np.zeros(len(block.grams), dtype=np.uint64)
+        for part, data in zip(answered["part"].to_pylist(), answered["levels"].to_pylist()):
+            levels[block.starts[part] : block.starts[part + 1]] = unpack_counts(data)
+        keys, sizes, prefixes, ranks, sketches, wide = [], [], [], [], [], []
+        begin = 0
+        for grams in block.sets:
+            n = len(grams)
+            level = levels[block.at[begin : begin + n]]
+            begin += n
+            length = n - -(-percent * n // 100) + 1 if n else 0
+            rarest = np.lexsort((grams, level))[:length]
+            shared = np.flatnonzero(level[rarest] > 1)
+            counts = np.bincount(
+                (grams % np.uint64(64 * _WORDS)).astype(np.int64), minlength=64 * _WORDS
             )
+            keys.append(np.uint64(_set_key(grams)).astype(np.int64))
+            sizes.append(n)
+            prefixes.append(grams[rarest[shared]].view(np.int64))
+            ranks.append(shared.astype(np.int32))
+            sketches.append(np.packbits(counts % 2 == 1).view("<i8"))
+            wide.append(_parities(grams, 1 << n.bit_length()) if n > 64 * _WORDS else None)
+        return pa.table(
+            {
+                "_id": texts["_id"],
+                "key": pa.array(keys, pa.int64()),
+                "n": pa.array(sizes, pa.int64()),
+                "prefix": pa.array(prefixes, pa.list_(pa.int64())),
+                "places": pa.array(ranks, pa.list_(pa.int32())),
+                "wide": pa.array(wide, pa.binary()),
+                **dict(zip(_SKETCH, (pa.array(x, pa.int64()) for x in np.transpose(sketches)))),
+            }
+        )
 
     schema = schema_of(
         documents,
@@ -124,10 +149,11 @@ def signatures(documents: DataFrame, size: int, percent: int, bits: int = 21) ->
         key="long",
         n="long",
         prefix="array<long>",
+        places="array<int>",
         wide="binary",
         **dict.fromkeys(_SKETCH, "long"),
     )
-    return documents.mapInArrow(sign, schema)
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sign, schema)
 
 
 def _long_enough(n: Column, m: Column, percent: int) -> Column:
@@ -273,7 +299,8 @@ def jaccard_components(
     facts = nodes.drop("_first")
     long_sets = full.filter("wide is not null").select("key", "n", "wide")
     long_sets = stored(long_sets.dropDuplicates(["key"]))
-    postings = full.select("key", "n", F.posexplode("prefix").alias("place", "gram"))
+    both = F.arrays_zip(F.col("prefix").alias("gram"), F.col("places").alias("place"))
+    postings = full.select("key", "n", F.inline(both))
     meeting = (
         postings.groupBy("gram")
         .agg(F.min("key").alias("first"), F.max("key").alias("last"))
@@ -410,20 +437,26 @@ def one_of_each(
         text.alias("_text"),
     )
     found = stored(jaccard_components(keyed, size, percent, "_key", "_text"))
-    rows = found.groupBy(F.col("_key.key").alias("_key")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(F.col("component_id") != F.col("_key")).alias("_goes"),
+    # Names that the caller's columns do not have.
+    row, touched, goes, copies = free_names(documents.columns, "row", "touched", "goes", "copies")
+    rows = found.groupBy(F.col("_key.key").alias(row)).agg(
+        F.count(F.lit(1)).alias(copies),
+        F.max(F.col("component_id") != F.col("_key")).alias(goes),
     )
-    rows = stored(rows.filter("_goes or _rows > 1"))
-    marked = documents.withColumn("_key", key)
-    marked = marked.withColumn("_touched", membership(rows, "_key")("_key"))
-    looked_at = marked.filter("_touched").join(rows, "_key", "left")
-    stays = looked_at.filter("not coalesce(_goes, false)")
-    once = stays.filter("_rows > 1").dropDuplicates(["_key"])
+    rows = stored(rows.filter(F.col(goes) | (F.col(copies) > 1)))
+    marked = documents.withColumn(row, key)
+    marked = marked.withColumn(touched, membership(rows, row)(row))
+    looked_at = marked.filter(F.col(touched)).join(rows, row, "left")
+    stays = looked_at.filter(~F.coalesce(goes, F.lit(False)))
+    once = stays.filter(F.col(copies) > 1).dropDuplicates([row])
     return reduce(
         DataFrame.unionByName,
         [
-            x.select(*documents.columns)
-            for x in (marked.filter("not _touched"), stays.filter("coalesce(_rows, 1) = 1"), once)
+            x.select(*(F.col(f"`{c}`") for c in documents.columns))
+            for x in (
+                marked.filter(~F.col(touched)),
+                stays.filter(F.coalesce(copies, F.lit(1)) == 1),
+                once,
+            )
         ],
     )
