@@ -24,7 +24,7 @@ from wordloom.llm.toxicity import Model, Scanner, remove_toxic, score_toxicity,
 @pytest.fixture(scope="module")
 def database(sample):
     connection = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "embeddings", "benchmark"):
         connection.execute(f"create view {name} as select * from '{sample}/{name}.parquet'")
     yield connection
     connection.close()
@@ -195,6 +195,19 @@ def test_no_part_of_an_article_is_lost(spark):
         assert found[n] == f"{n} {story}".strip()
     for n in range(4):
         assert found[20 + n] == f"{f'lead {n} ' * 30}".strip() + "\n" + (story * 2).strip()
+    # A short lead, and a heading and a paragraph without a container, with a notice beside.
+    short = (
+        "<div class=page><h1>Title {0}</h1><p>By author {0}</p><div class=lead>The lead of page {0}</div>"
+        "<div class=body><p>{1} {0}</p></div><div class=note>Our site is under repair.</div></div>"
+    )
+    rows = [(n, f"http://d.org/{n}", short.format(n, story * 3)) for n in range(12)]
+    rows += rows[:1] * 20  # copies of a page are no evidence of a notice
+    rows += [(50, "http://e.org/1", short.format(50, story))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract_pages(frame).collect()}
+    for n in range(12):
+        assert found[n] == f"Title {n}\nBy author {n}\nThe lead of page {n}\n{(story * 3).strip()} {n}"
+    assert found[50].startswith("Title 50\nBy author 50\nThe lead of page 50\n")
     named = (
         "<article><div class='entry-header'><p>Heading</p></div><h2 id='related-work'>Related work</h2>"
         "<h3 id='login'>Login</h3><p>Text of it.</p><div class='related-posts'><a href=/>Another one</a></div>"
@@ -203,6 +216,39 @@ def test_no_part_of_an_article_is_lost(spark):
     assert main_text(read_page(named), []) == "Heading\nRelated work\nLogin\nText of it."
 
 
+def written_page(pick, kind, n):
+    """A page of one of three layouts, and the text of its article."""
+    words = lambda k: " ".join(f"w{pick.randrange(5000)}" for _ in range(k))
+    paragraphs = [words(pick.randint(3, 60)) for _ in range(pick.randint(1, 9))]
+    title, lead = f"Title {n} {words(3)}", words(pick.randint(2, 12))
+    filled = "".join(f"<p>{p.replace(' ', pick.choice([' ', chr(10), '  ']))}" for p in paragraphs)
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{k}>{words(1)}</a>" for k in range(6)) + "</ul></nav>"
+    advert, comment = f"<div class='ad'>{words(9)}</div>", f"<div class=comments><p>{words(30)}</p></div>"
+    notice = "<div class=strip>This site is read by many people.</div>"
+    parts = {
+        0: f"<article><h1>{title}</h1><p>{lead}</p>{filled}{advert}</article>{comment}",
+        1: f"<div class=page><h1>{title}</h1><div class=lead>{lead}</div>"
+        f"<div class='body n{n}'>{filled}</div>{notice}{comment}</div>",
+        2: f"<main><header><h1>{title}</h1></header><p>{lead}</p><form><p>Search</form>{filled}</main>",
+    }
+    html = f"<html><head><title>x</title></head><body>{menu}{advert}{parts[kind]}<footer>© n</footer></body>"
+    return html, "\n".join([title, lead, *paragraphs])
+
+
+def test_extraction_equals_what_pages_were_written_from(spark):
+    pick = random.Random(8)
+    rows, wanted = [], {}
+    for n in range(90):
+        html, wanted[n] = written_page(pick, n % 3, n)
+        rows.append((n, f"http://host{n % 3}.org/{n}", html))
+    long_ = "word " * 400_000
+    rows.append((500, "http://long.org/", f"<article><p>{long_}</p></article>"))
+    wanted[500] = long_.strip()
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract_pages(frame).collect()}
+    assert found == wanted
+
+
 # Mixing
 
 
@@ -244,7 +290,7 @@ def test_sampling_of_odd_rows(docs):
 def test_backoff_scores_equal_brute_force(docs, order):
     pick = random.Random(order)
     texts = [(n, " ".join(pick.choices("abcdefg", k=pick.randint(0, 30)))) for n in range(60)] + ODD
-    texts += [(7, "a b c a b")] * 40 + [(None, "c d e")] * 40  # dealt over blocks all the same
+    texts += [(77, "a b c a b")] * 40 + [(None, "c d e")] * 40  # dealt over blocks all the same
     found = backoff_scores(docs(*texts), order, block_chars=400, part_words=50).collect()
     words = [(i, (t or "").lower().split()) for i, t in texts]
     counts = [Counter() for _ in range(order + 1)]

@@ -2,8 +2,9 @@
 
 Every page names the container that holds most of its running text by a generalised path
 of tags and classes. Pages of a host vote, weighted by text. Pages that have the same of
-the winning paths are of one template; they vote again which of these holds the article,
-and which containers beside it belong to it.
+the winning paths are of one template; they vote again which of these holds the article.
+What lies beside that container is kept, however short, unless its text is the same on the
+pages of the template.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ _ATTRIBUTE = re.compile(
 )
 _SLUGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 _DENSE = 0.5  # the share of linked text from which a named element is left out
-_BESIDE = 0.1  # the share of a page's running text from which a container counts
+#: What repeats beside a container is left out if it is on so many pages of a hundred.
+_REPEATED = 1
 _DIGITS = re.compile(r"\d+")
 
 
@@ -199,19 +202,20 @@ def read_page(html: str) -> Page:
     return page
 
 
-def _running(page: Page) -> list[tuple[Node, float]]:
-    """Blocks that can be of an article, with the length of their text outside of links.
+def _running(page: Page) -> list[tuple[Node, float, str]]:
+    """Blocks that can be of an article, with the length of their text outside of links,
+    and the text.
 
     Elements named as something else by a part of their names do not count, unless a page
     has no other running text; then those with much linked text do not.
     """
     blocks = [
-        (node, float(len(text) - linked))
+        (node, float(len(text) - linked), text)
         for node, text, linked in page.blocks
         if node is not None and not node.dropped and len(text) > linked
     ]
-    plain = [(node, weight) for node, weight in blocks if not node.shadowed]
-    return plain or [(n, w) for n, w in blocks if not any(map(_is_dense, _ancestors(n)))]
+    plain = [block for block in blocks if not block[0].shadowed]
+    return plain or [block for block in blocks if not any(map(_is_dense, _ancestors(block[0])))]
 
 
 def _is_dense(node: Node) -> bool:
@@ -225,7 +229,7 @@ def container_scores(page: Page) -> dict[str, float]:
     Within ``article`` or ``main`` that element is the container.
     """
     scores: dict[str, float] = {}
-    for node, weight in _running(page):
+    for node, weight, _ in _running(page):
         semantic = [x for x in _ancestors(node) if x.tag in ("article", "main")]
         if semantic:
             scores[semantic[-1].path] = scores.get(semantic[-1].path, 0.0) + weight
@@ -239,25 +243,28 @@ def container_scores(page: Page) -> dict[str, float]:
     return scores
 
 
-def beside(page: Page, paths: list[str]) -> dict[str, set[str]]:
-    """For each of some container paths the paths of containers with the same parent that
-    hold at least a tenth of the page's running text; none beside ``article`` or ``main``."""
-    inside: dict[str, float] = {}
+def beside(page: Page, paths: list[str]) -> dict[str, dict[str, int]]:
+    """For each of some container paths the paths of elements with the same parent that hold
+    running text, with a hash of that, the path itself among them; none beside ``article``
+    or ``main``. Under the empty path is the hash of all running text."""
+    texts: dict[str, list[str]] = {}
     parents: dict[str, str] = {}
-    total = 0.0
     wanted = set(paths)
-    for node, weight in _running(page):
-        total += weight
+    for node, _, text in _running(page):
         # Paths repeat, but a block counts once for each.
-        for path, outer in {x.path: x for x in _ancestors(node) if x.tag not in _LEAVES}.items():
-            inside[path] = inside.get(path, 0.0) + weight
+        for path, outer in {x.path: x for x in _ancestors(node)}.items():
+            texts.setdefault(path, []).append(text)
             if outer.parent is not None:
                 parents[path] = outer.parent.path
             if path in wanted and outer.tag in ("article", "main"):
                 wanted.discard(path)
-    large = [p for p, weight in inside.items() if weight >= _BESIDE * total and p in parents]
+    children: dict[str, list[str]] = {}
+    for path, parent in parents.items():
+        children.setdefault(parent, []).append(path)
+    hash_of = lambda said: xxhash.xxh3_64_intdigest("\n".join(said)) >> 1
+    whole = hash_of([text for _, _, text in _running(page)])
     return {
-        path: {p for p in large if p != path and parents[p] == parents[path]}
+        path: {"": whole} | {other: hash_of(texts[other]) for other in children[parents[path]]}
         for path in wanted
         if path in parents
     }
@@ -275,21 +282,22 @@ def template_of(scores: dict[str, float], winners: list[str]) -> int:
 def main_text(
     page: Page, winners: list[str], templates: dict[int, tuple[str, list[str]]] | None = None
 ) -> str:
-    """The blocks within the container of the page's template and those beside it, else
-    within the winning path with most text, else within the page's own best container, else
-    those outside of any element.
+    """The blocks within the container of the page's template, else within the winning path
+    with most text, else within the page's own best container, and those beside it; or, on
+    a page without any, those outside of any element.
 
     ``templates`` has for the winning paths of a page (bits) that container and the paths
-    beside it. Elements with a part of their names that says they are no part of an article
+    beside it that repeat from page to page and are left out. Elements with a part of their names that says they are no part of an article
     are left out within the container if at least half of their text is in links.
     """
     scores = container_scores(page)
-    path, more = (templates or {}).get(template_of(scores, winners), (None, []))
+    path, repeated = (templates or {}).get(template_of(scores, winners), (None, []))
     if path is None:
         path = best_path({p: scores[p] for p in winners if scores.get(p)}) or best_path(scores)
-        more = list(beside(page, [path]).get(path, ())) if path else []
-    read = {path, *more}
-    only_named = all(node.shadowed for node, _ in _running(page))
+    read = {path}
+    if path is not None:
+        read |= beside(page, [path]).get(path, {}).keys() - set(repeated)
+    only_named = all(node.shadowed for node, _, _ in _running(page))
 
     def is_kept(node: Node) -> bool:
         found = False
@@ -316,11 +324,13 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
 
     ``container`` is the leading path of the page's host; paths with at least ``share`` of
     a host's votes win, at most ``1 / share`` of them, the strongest first. Pages of a host
-    with the same winning paths vote which of them is read from these pages; containers
-    beside it that hold a tenth of the running text on half of these pages are read too. The votes are
+    with the same winning paths vote which of them is read from these pages. Elements beside
+    it are read too, unless they say the same on most of the pages that have them (copies of
+    a page are one) and are on a hundredth of all: notices and the like. The votes are
     summed before they are shuffled, one row per task, host and path, so a host with a
-    third of the pages is no larger than another. A null html gives an empty text, a null
-    url is a host of its own, repeated rows are kept; other columns are not read.
+    third of the pages is no larger than another; what elements say is counted by hashes. A
+    null html gives an empty text, a null url is a host of its own, repeated rows are kept;
+    other columns are not read.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url"), r"^[^/]*//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select("page_id", "url", host.alias("_host"), F.col("html").alias("text"))
@@ -358,7 +368,8 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
 
     def vote_again(batches):
         for batch, texts in text_slices(batches):
-            found: dict[tuple[str, int, str, str], list[float]] = {}
+            sums: dict[tuple[str, int, str], float] = {}
+            said: set[tuple[str, int, str, str, int, int]] = set()
             names = batch.column("_host").to_pylist()
             for name, html, paths in zip(names, texts, batch.column("winners").to_pylist()):
                 page = read_page(html)
@@ -368,46 +379,49 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
                     continue
                 present = [p for p in paths if scores.get(p)]
                 best = best_path({p: scores[p] for p in present})
-                # The path beside none is the container itself.
-                rows_of = [(best, "", scores[best])] + [
-                    (p, other, 0.0) for p, others in beside(page, present).items() for other in others
-                ]
-                for path, other, weight in [("", "", 0.0), *rows_of]:
-                    sums = found.setdefault((name, template, path, other), [0.0, 0])
-                    sums[0] += weight
-                    sums[1] += 1
-            if found:
+                sums[name, template, best] = sums.get((name, template, best), 0.0) + scores[best]
+                for path, hashes in beside(page, present).items():
+                    whole = hashes.pop("")
+                    for other, hash_ in hashes.items():
+                        said.add((name, template, path, other, hash_, whole))
+            rows_of = [(*key, None, None, None, votes) for key, votes in sums.items()]
+            rows_of += [(*key, None) for key in said]
+            if rows_of:
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *(pa.array(column, kind) for column, kind in zip(
-                            zip(*found), (pa.string(), pa.int64(), pa.string(), pa.string()))),
-                        pa.array([v[0] for v in found.values()], pa.float64()),
-                        pa.array([v[1] for v in found.values()], pa.int64()),
-                    ],
-                    names=["_host", "template", "path", "other", "votes", "pages"],
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows_of), kinds)],
+                    names=["_host", "template", "path", "other", "said", "page", "votes"],
                 )
 
     again = stored(
         rows.select("_host", "text")
         .join(winners, "_host")
-        .mapInArrow(vote_again, "_host string, template long, path string, other string, votes double, pages long")
-        .groupBy("_host", "template", "path", "other")
-        .agg(F.sum("votes").alias("votes"), F.sum("pages").alias("pages"))
+        .mapInArrow(
+            vote_again,
+            "_host string, template long, path string, other string, said long, page long, votes double",
+        )
+        .groupBy("_host", "template", "path", "other", "said", "page")
+        .agg(F.sum("votes").alias("votes"))
     )
     key = ["_host", "template"]
-    leaders = again.filter("path <> '' and other = ''").groupBy(*key).agg(
-        F.min(F.struct((-F.col("votes")).alias("v"), "path"))["path"].alias("path")
+    leaders = (
+        again.filter("other is null")
+        .groupBy(*key)
+        .agg(F.min(F.struct((-F.col("votes")).alias("v"), "path"))["path"].alias("path"))
+    )
+    said = again.filter("other is not null").groupBy(*key, "path", "other").agg(
+        F.count_distinct("said").alias("texts"), F.count_distinct("page").alias("pages")
     )
-    sizes = again.filter("path = ''").select(*key, F.col("pages").alias("size"))
-    others = (
-        again.filter("other <> ''")
-        .join(sizes, key)
-        .filter("2 * pages >= size")  # at most twenty for a path, as each has a tenth
+    sizes = said.filter("path = other").select(*key, "path", F.col("pages").alias("size"))
+    repeated = (
+        said.filter("path <> other and 2 * texts <= pages")
+        .join(sizes, [*key, "path"])
+        .filter(F.col("pages") * 100 >= F.col("size") * _REPEATED)
         .groupBy(*key, "path")
-        .agg(F.sort_array(F.collect_list("other")).alias("more"))
+        .agg(F.sort_array(F.collect_list("other")).alias("repeated"))
     )
-    templates = leaders.join(others, [*key, "path"], "left").groupBy("_host").agg(
-        F.collect_list(F.struct("template", "path", "more")).alias("templates")
+    templates = leaders.join(repeated, [*key, "path"], "left").groupBy("_host").agg(
+        F.collect_list(F.struct("template", "path", "repeated")).alias("templates")
     )
     winners = stored(winners.join(templates, "_host", "left"))
 
@@ -415,7 +429,7 @@ def extract_pages(pages: DataFrame, share: float = 0.2) -> DataFrame:
         for batch, texts in text_slices(batches):
             winning = batch.column("winners").to_pylist()
             plans = [
-                {t["template"]: (t["path"], t["more"] or []) for t in plan or []}
+                {t["template"]: (t["path"], t["repeated"] or []) for t in plan or []}
                 for plan in batch.column("templates").to_pylist()
             ]
             found = [
