@@ -99,23 +99,26 @@ def sample_mix(
     targets, or the power by which the present shares are flattened. ``weight`` is the
     calibrated weight of a document's cell, its fitted over its present tokens. Documents
     are sampled with probability ``weight * scale``, at most 1, each on its own by a hash
-    of its id; ``scale`` aims at ``share`` of all tokens, as far as no cell lacks tokens
-    for it. The columns of ``documents`` are kept; a column named ``mixing`` is replaced.
+    of its id. ``scale`` is such that ``share`` of all tokens are expected: what a cell lacks
+    that is taken whole is made up for by the others, in the ratio of their weights. The columns of ``documents`` are kept; a column named ``mixing`` is replaced.
 
     Rows with null values form cells of their own; rows without tokens have weight 0 and
     are never sampled; repeated rows share their fate. Only sums of cells are shuffled;
     the table of cells, joined back, has a row for each combination of margin values.
     """
-    mixed = documents.drop("mixing") if "mixing" in documents.columns else documents
-    names = list(mixed.columns)
-    values = {c: F.col(c) for c in margins if c != "topic"}
+    names = [c for c in documents.columns if c != "mixing"]
+    values = {c: F.col(f"`{c}`") for c in margins if c != "topic"}
     if "topic" in margins:
         values["topic"] = topic if topic is not None else F.col("topic")
-    keyed = mixed.withColumn("_tokens", F.coalesce(tokens.cast("long"), F.lit(0))).withColumns(
-        {f"_m_{c}": value for c, value in values.items()}
+    # The caller's columns are one from here on, so that any may be called as those here.
+    keyed = documents.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
+        F.coalesce(tokens.cast("long"), F.lit(0)).alias("own_tokens"),
+        *(value.alias(f"_m_{c}") for c, value in values.items()),
+        uniform([F.col(f"`{id_column}`")], seed).alias("draw"),
     )
     keys = [f"_m_{c}" for c in values]
-    cells = stored(keyed.groupBy(*keys).agg(F.sum("_tokens").alias("tokens")))
+    cells = stored(keyed.groupBy(*keys).agg(F.sum("own_tokens").alias("tokens")))
     targets = {
         f"_m_{c}": flattened(cells, f"_m_{c}", t) if isinstance(t, (int, float)) else t
         for c, t in margins.items()
@@ -123,32 +126,49 @@ def sample_mix(
     fitted = rake(cells, targets, rounds=rounds, tolerance=tolerance)
     weight = F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(0.0)
     weights = stored(
-        fitted.select(*(F.col(k).alias(f"{k}_") for k in keys), weight.alias("_weight"), "tokens")
+        fitted.select(*(F.col(k).alias(f"{k}_") for k in keys), weight.alias("weight"), "tokens")
     )
-    scale = share * (weights.agg(F.sum("tokens")).first()[0] or 0)
+    scale = _scale(weights, share)
     matches = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys]
     condition = matches[0]
     for match in matches[1:]:
         condition = condition & match
-    probability = F.least(F.coalesce("_weight", F.lit(0.0)) * scale, F.lit(1.0))
-    drawn = (F.col("_tokens") > 0) & (uniform([F.col(id_column)], seed) < F.col("_probability"))
+    calibrated = F.coalesce("weight", F.lit(0.0))
+    probability = F.least(calibrated * scale, F.lit(1.0))
     topic_name = F.col("_m_topic") if "topic" in values else F.lit(None).cast("string")
-    return (
-        keyed.join(weights, condition, "left")
-        .withColumn("_probability", probability)
-        .select(
-            *names,
-            F.struct(
-                F.col("_tokens").alias("tokens"),
-                topic_name.alias("topic"),
-                F.coalesce("_weight", F.lit(0.0)).alias("weight"),
-                F.col("_probability").alias("probability"),
-                drawn.alias("sampled"),
-            ).alias("mixing"),
-        )
+    return keyed.join(weights, condition, "left").select(
+        *(F.col("row").getField(c).alias(c) for c in names),
+        F.struct(
+            F.col("own_tokens").alias("tokens"),
+            topic_name.alias("topic"),
+            calibrated.alias("weight"),
+            probability.alias("probability"),
+            ((F.col("own_tokens") > 0) & (F.col("draw") < probability)).alias("sampled"),
+        ).alias("mixing"),
     )
 
 
+def _scale(weights: DataFrame, share: float) -> float:
+    """What weights are multiplied by to expect ``share`` of all tokens.
+
+    Where that takes a cell beyond 1, all of it is taken and the others are scaled up for
+    what is missing, until no more cells are full or all are. Reads the table of cells.
+    """
+    total = weights.agg(F.sum("tokens")).first()[0] or 0
+    scale, full = share * total, None
+    while True:
+        is_full = F.col("weight") * scale >= 1
+        sums = weights.filter("weight > 0").agg(
+            F.count_if(is_full).alias("n"),
+            F.sum(F.when(is_full, F.col("tokens"))).alias("taken"),
+            F.sum(F.when(~is_full, F.col("weight") * F.col("tokens"))).alias("left"),
+        ).first()
+        if sums["n"] in (0, full) or not sums["left"]:
+            return scale
+        full = sums["n"]
+        scale = max(scale, (share * total - sums["taken"]) / sums["left"])
+
+
 def _cte(margin: str, before: str, name: str) -> str:
     return (
         f"{name} as (select * replace (case when sum(fitted) over (partition by {margin}) > 0 "

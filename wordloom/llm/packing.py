@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.byte_bpe import load
-from wordloom.llm.common import schema_of, stored, text_slices
+from wordloom.llm.common import free_names, schema_of, stored, text_slices
 
 
 @dataclass(frozen=True)
@@ -158,31 +158,32 @@ def pack(
     """The pieces with ``sequence_id`` and ``offset``, packed without gaps.
 
     ``pieces`` has a ``length`` of at most ``capacity.piece`` in every row; its other
-    columns are carried along. Rows are dealt in turn into groups of ``group_size``, each
+    columns are carried along, but for ones of the two names. Rows are dealt in turn into groups of ``group_size``, each
     packed by one task: at most one badly filled sequence a group, and no key, however
     frequent, can fill a group. Equal pieces are told apart by their rows.
     """
     if rule not in ("norm", "dot"):
         raise ValueError(f"unknown rule {rule!r}")
-    rows = stored(pieces)
+    rows = stored(pieces.drop("sequence_id", "offset"))
+    (name,) = free_names(rows.columns, "group")
     groups = max(1, ceil(rows.count() / group_size))
     limits, scale = capacity.vector, np.array(weights)
     # The table is stored, so that a repeated task gives its rows the same numbers.
     number = F.monotonically_increasing_id()
-    dealt = rows.withColumn("_group", F.pmod(number + (number / 2**33).cast("long"), F.lit(groups)))
+    dealt = rows.withColumn(name, F.pmod(number + (number / 2**33).cast("long"), F.lit(groups)))
 
     def fill(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         lengths = group["length"].to_numpy()
         bins, offsets = best_fit(lengths, limits, scale, rule)
         sequence = key[0].as_py() * (1 << 32) + bins
         return (
-            group.drop_columns(["_group"])
+            group.drop_columns([name])
             .append_column("sequence_id", pa.array(sequence, pa.int64()))
             .append_column("offset", pa.array(offsets, pa.int64()))
         )
 
     schema = schema_of(rows, rows.columns, sequence_id="long", offset="long")
-    return dealt.groupBy("_group").applyInArrow(fill, schema)
+    return dealt.groupBy(name).applyInArrow(fill, schema)
 
 
 def pack_documents(
