@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import ODD
-from wordloom.llm import fixity, queries
+from wordloom.llm import fixity, grammar, queries
 from wordloom.llm.grammar import HIT, NEGATION, OTHER, REPORT, TARGET, clause_grammar
 from wordloom.llm.html_pages import extract_pages, main_text, read_page
 from wordloom.llm.mixing import rake, sample_mix
@@ -90,6 +90,36 @@ def test_composed_transducers():
     assert factor(REPORT, TARGET, NEGATION, HIT) == pytest.approx(0.4 * 0.6 * 1.5)
 
 
+def test_the_composition_equals_the_machines_one_after_the_other():
+    machines = [
+        grammar.threats(2.0),
+        grammar.insults(1.5),
+        grammar._window(NEGATION, 3, 0.4),
+        grammar._rest((REPORT,), 0.6),
+        grammar._rest((TARGET, grammar.AFTER, grammar.PATTERN), 1.5),
+    ]
+    pick = random.Random(11)
+    for _ in range(400):
+        state, states = 0, [0] * len(machines)
+        for symbol in pick.choices(grammar.SYMBOLS, k=pick.randint(1, 25)):
+            state, passed, factor_ = clause_grammar().steps[state, symbol]
+            weight = 1.0
+            for n, machine in enumerate(machines):
+                states[n], symbol, more = machine.steps[states[n], symbol]
+                weight *= more
+            assert passed == symbol and factor_ == pytest.approx(weight)
+
+
+def test_ordinary_sentences_have_no_pattern():
+    scanner = Scanner({}, 0.0)
+    for text in (
+        "Sie werden die Tür öffnen", "Ihr werdet die Antwort finden", "du wirst die Rechnung bezahlen",
+        "vous allez payer le billet", "tu vas trouver la réponse", "ils sont à la maison",
+        "vas a pagar la cuenta", "ellos van a comer", "you will find the answer", "they are at home",
+    ):
+        assert scanner.clauses(text) == [], text
+
+
 def test_clauses_and_scores_of_odd_rows(docs):
     model = Model({"fool": 3.0, "fool-": 2.0, "foolproof": -1.0}, (-3.0, 2.0, 1.0, 0.0))
     rows = [*ODD, (8, "All is well. You are a fool! Fine"), (9, "a foolproof plan, not foolish")]

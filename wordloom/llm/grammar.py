@@ -43,7 +43,8 @@ THREATS = (
     "tuer assassiner détruire frapper matar asesinar destruir golpear"
 ).split()
 # Words that are harmless alone: forms of to be, of the future, words that demean whom they
-# are said of, what a threatened one will do, and what is done to one.
+# are said of, what a threatened one will do, and what is done to one. Words that are common
+# in another of the languages (die), or in plain sentences on paying, are left out.
 COPULAS = (
     "are re is was were be been bist seid sind ist war waren es êtes est sont étais était "
     "eres son sois eran"
@@ -59,8 +60,8 @@ SCORNS = (
     "nada inútil inútiles patético patéticos basura desecho vergüenza"
 ).split()
 SUFFERS = (
-    "pay regret suffer bleed die bezahlen bereuen büßen leiden bluten sterben "
-    "payer regretter souffrir saigner mourir pagar lamentar lamentarlo sufrir sangrar morir"
+    "pay regret suffer bleed bereuen büßen leiden bluten sterben "
+    "regretter souffrir saigner mourir lamentar lamentarlo sufrir sangrar morir"
 ).split()
 PURSUITS = (
     "find hunt finish bury crush ruin finden jagen kriegen vernichten begraben "

@@ -168,7 +168,6 @@ def train(
     documents: DataFrame,
     labels: DataFrame,
     fit_rows: int = 20_000,
-    entries: int = 5_000,
     lone: float = 1.0,
 ) -> Model:
     """A model from ``labels`` (``doc_id, toxic``) of ``documents`` (``doc_id, text``).
@@ -176,8 +175,8 @@ def train(
     At most ``fit_rows`` labelled documents are used, those with the smallest hash of
     their ids; ids with null labels are left out, the larger of two labels counts. Spark
     counts in how many toxic and clean documents each word and each beginning of a word
-    occurs; ``entries`` with the strongest evidence beyond chance, given how many were
-    tried, and mostly in toxic documents are candidates. Words are then counted for their
+    occurs; those with evidence beyond chance, given how many were tried, and mostly in
+    toxic documents are candidates, of which these rows can have so many only. Words are then counted for their
     longest candidate only, and what still stands becomes the lexicon. With ``lone`` 0
     only clause patterns count, hits by themselves do not.
     """
@@ -200,7 +199,7 @@ def train(
         return Model({}, (-3.0, 1.0, 0.5, 0.0), lone)
 
     def strongest(counts: DataFrame, tried: int) -> list:
-        """The entries worth keeping, at most ``entries`` rows on the driver."""
+        """The entries worth keeping."""
         rate = (toxic + 1) / (toxic + clean + 2)
         n = F.col("toxic") + F.col("clean")
         share = F.col("toxic") / n
@@ -212,8 +211,7 @@ def train(
             counts.filter((F.col("toxic") >= 3) & (share >= 0.8))
             .withColumn("g", g)
             .filter(F.col("g") >= 2 * log(max(tried, 2)))
-            .orderBy(F.desc("g"), F.desc(F.length("feature")), "feature")
-            .limit(entries)
+            .select("feature")
             .collect()
         )
 
