@@ -376,6 +376,25 @@ def test_archives_on_disk(spark, tmp_path):
     assert fixity.audit(fixity.lay_out(pages.limit(0)), read.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_damage_at_random_places_is_found_exactly(spark, seed):
+    pick = random.Random(seed)
+    rows = [(n, "u", "x" * pick.randint(0, 30)) for n in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    places = fixity.stored(fixity.lay_out(pages, ids_per_file=30))
+    held = [(r["file"], r["offset"], r["digest"]) for r in places.collect()]
+    lost, changed = set(pick.sample(range(400), 7)), set(pick.sample(range(400), 9))
+    copy = [
+        (file, offset, f"{digest[1:]}0" if n in changed else digest)
+        for n, (file, offset, digest) in enumerate(held)
+        if n not in lost
+    ]
+    replica = spark.createDataFrame(copy, places.select("file", "offset", "digest").schema)
+    found = {(r["file"], r["offset"]): r["status"] for r in fixity.audit(places, replica, fan_out=4).collect()}
+    wanted = {held[n][:2]: "changed" for n in changed - lost} | {held[n][:2]: "missing" for n in lost}
+    assert found == wanted
+
+
 def test_audit_of_null_and_repeated_ids_and_of_extra_records(spark, tmp_path):
     rows = [(n, "u", f"<p>{n}") for n in range(1, 9)] + [(3, "u", "<p>again"), (None, "u", "x"), (None, "u", "y"), (None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

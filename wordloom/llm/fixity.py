@@ -218,15 +218,22 @@ def write_warc(pages: DataFrame, path: str, ids_per_file: int = 1000) -> None:
 def read_digests(spark: SparkSession, path: str, places: DataFrame) -> DataFrame:
     """``file, offset, digest`` of what WARC files hold at the places of an archive.
 
-    A file is read whole by one task, so files are to be of a bounded size.
+    A file is read whole by one task, so files are to be of a bounded size. The places of a
+    file come to it as one list, so its content is held once, not once for every record.
     """
     name = F.regexp_extract("path", r"/file=([0-9]+)/", 1).cast("long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/file=*")
-    held = files.select(name.alias("file"), "content").join(
-        places.select("file", "offset", "length"), "file"
+    listed = places.groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("places")
     )
-    found = F.substring("content", (F.col("offset") + 1).cast("int"), F.col("length").cast("int"))
-    return held.select("file", "offset", F.sha2(found, 256).alias("digest")).filter(
+    held = files.select(name.alias("file"), "content").join(listed, "file")
+
+    def digest(place: Column) -> Column:
+        begin, length = (place["offset"] + 1).cast("int"), place["length"].cast("int")
+        found = F.sha2(F.substring("content", begin, length), 256)
+        return F.struct(place["offset"].alias("offset"), found.alias("digest"))
+
+    return held.select("file", F.inline(F.transform("places", digest))).filter(
         F.col("digest") != F.sha2(F.lit(""), 256)
     )
 
