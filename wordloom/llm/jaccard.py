@@ -52,8 +52,8 @@ def signatures(
     documents: DataFrame,
     size: int,
     percent: int,
-    block_chars: int = 8_000_000,
-    part_grams: int = 4_000_000,
+    block_chars: int = 4_000_000,
+    part_grams: int = 1_000_000,
 ) -> DataFrame:
     """``_id, key, n, prefix, places, wide, s0 ... s7`` of every row of ``documents``
     (``_id, text``).
