@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
 
@@ -9,27 +11,29 @@ def pack_sorted(values: np.ndarray) -> bytes:
     """Rising 64-bit numbers as their differences.
 
     So many low bytes of a difference that the rest is about 16 on average are written as
-    they are; the rest is a byte, or 255 and a number of 8 bytes at the end.
+    they are; the rest is a byte, or 255 and a number of 8 bytes at the end. These bytes
+    are far from even and are compressed.
     """
     n = len(values)
     if n == 0:
         return b""
     steps = np.diff(values, prepend=np.uint64(0))
-    mean = int(values[-1]) // n + 1
+    mean = int(values[-1] - values[0]) // n + 1
     low = max(0, min(7, -(-(mean.bit_length() - 4) // 8)))
     rest = steps >> np.uint64(8 * low)
     high, more = _escaped(rest)
     raw = steps.astype("<u8").view(np.uint8).reshape(n, 8)[:, :low]
-    head = np.array([n, low], dtype="<u4").tobytes()
+    high = zlib.compress(high, 1)
+    head = np.array([n, low, len(high)], dtype="<u4").tobytes()
     return head + high + np.ascontiguousarray(raw.T).tobytes() + more
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, dtype=np.uint64)
-    n, low = (int(x) for x in np.frombuffer(data, "<u4", 2))
-    begin = 8 + n
-    rest = _plain(data[8:begin], data[begin + n * low :])
+    n, low, size = (int(x) for x in np.frombuffer(data, "<u4", 3))
+    begin = 12 + size
+    rest = _plain(zlib.decompress(data[12:begin]), data[begin + n * low :])
     raw = np.zeros((n, 8), dtype=np.uint8)
     raw[:, :low] = np.frombuffer(data, np.uint8, n * low, begin).reshape(low, n).T
     steps = raw.view("<u8").reshape(-1) | (rest << np.uint64(8 * low))
