@@ -120,3 +120,17 @@ def test_renderings(spark):
     assert spark.sql("select map() m").select(
         W.stripe_text(F.col("m").cast("map<string,bigint>"))
     ).first()[0] == "{}"
+
+
+def test_lists_of_tokens_are_counted_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from wordloom.functions import stemming
+
+    rows = [["cats", "cat"], None, [], ["a"] * 7, ["dog"], ["dogs", "dog", "x"]]
+    monkeypatch.setattr(stemming, "SLICE_TOKENS", 4)
+    found = list(stemming._sliced_counts(iter([pa.array(rows), pa.array(rows[:0], pa.list_(pa.string()))])))
+    # Whole rows of at most four tokens; a longer row is alone.
+    assert [len(x) for x in found] == [3, 1, 2]
+    counts = [[(e["term"], e["tf"]) for e in row] for x in found for row in x.to_pylist()]
+    assert counts == [[("cat", 2)], [], [], [("a", 7)], [("dog", 1)], [("dog", 2), ("x", 1)]]

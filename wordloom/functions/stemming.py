@@ -1,8 +1,10 @@
 """Porter's suffix stripping (M. F. Porter, 1980, with his later ``bli`` and ``logi``).
 
 Spark has no stemmer, so this is the one place where Python runs in a task. Tokens
-travel as Arrow arrays and every batch is dictionary encoded first: each distinct token
-of a task is stemmed once, and the occurrences are filled in or counted as whole arrays.
+travel as Arrow arrays and are dictionary encoded first: each distinct token of a task is
+stemmed once, and the occurrences are filled in or counted as whole arrays. A batch of
+lists is counted in slices of some 200,000 tokens, and each slice goes back by itself, so
+that what a worker holds besides the batch does not grow with the texts in it.
 
 The functions are marked non-deterministic although they are not. Without the mark the
 optimizer copies the call into filters and moves those below earlier steps, which runs
@@ -12,6 +14,7 @@ the stemmer again, and on more rows.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -183,6 +186,23 @@ def _count_stems(lists: pa.Array, stemmed: bool = True, known: pa.Array | None =
     return pa.ListArray.from_arrays(pa.array(offsets), entries)
 
 
+#: Tokens of lists that are counted at once; a longer list is counted alone.
+SLICE_TOKENS = 200_000
+
+
+def _sliced_counts(
+    batches: Iterator[pa.Array], stemmed: bool = True, known: pa.Array | None = None
+) -> Iterator[pa.Array]:
+    for lists in batches:
+        ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy().astype(np.int64))
+        begin = done = 0
+        while begin < len(lists):
+            # As many whole lists as fit, one at least.
+            end = max(begin + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right")))
+            yield _count_stems(lists.slice(begin, end - begin), stemmed, known)
+            begin, done = end, ends[end - 1]
+
+
 @F.arrow_udf(T.StringType())
 def _stem(tokens: pa.Array) -> pa.Array:
     return _stem_strings(tokens)
@@ -192,8 +212,8 @@ _COUNTED = T.ArrayType(T.StructType().add("term", T.StringType()).add("tf", T.Lo
 
 
 @F.arrow_udf(_COUNTED)
-def _counts(lists: pa.Array) -> pa.Array:
-    return _count_stems(lists)
+def _counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return _sliced_counts(batches)
 
 
 def counts_within(known: Broadcast[pa.Array], stemmed: bool):
@@ -201,15 +221,15 @@ def counts_within(known: Broadcast[pa.Array], stemmed: bool):
     the tokens themselves) with their counts (``tf``), in the order of the terms; only of
     those that are ``known``."""
 
-    def count(lists: pa.Array) -> pa.Array:
-        return _count_stems(lists, stemmed, known.value)
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _sliced_counts(batches, stemmed, known.value)
 
     return F.arrow_udf(count, _COUNTED).asNondeterministic()
 
 
 @F.arrow_udf(_COUNTED)
-def _plain_counts(lists: pa.Array) -> pa.Array:
-    return _count_stems(lists, stemmed=False)
+def _plain_counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return _sliced_counts(batches, stemmed=False)
 
 
 #: Stem of a token column.
