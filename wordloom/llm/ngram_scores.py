@@ -8,9 +8,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.llm.common import schema_of
-from wordloom.llm.packed import pack_counts, pack_sorted, unpack_counts, unpack_sorted
+from wordloom.llm.packed import (
+    bundled,
+    pack_counts,
+    pack_sorted,
+    unbundled,
+    unpack_counts,
+    unpack_sorted,
+)
 from wordloom.llm.shingles import shingle_hashes, word_hashes, words_of
 
 
@@ -76,8 +84,9 @@ def backoff_scores(
     without words. Words are lower-cased in A-Z; null texts have none, repeated rows and
     null ids are kept, other columns are not read.
 
-    Documents are dealt into blocks of about ``block_chars`` characters, by a hash of id
-    and text and, for rows that repeat both, of their place in the input. A block sends its
+    Documents are dealt into blocks of about ``block_chars`` characters, in runs of 32 by
+    their place in the input; what a batch has for a block goes there as one row, with the
+    texts compressed together. A block sends its
     distinct n-grams with their counts, one row for each hash partition of the count tables,
     a range of hashes: sorted, as differences, six bytes or so each. There all counts of an
     n-gram meet (one for each block, however frequent it is), are summed, joined to what
@@ -91,11 +100,14 @@ def backoff_scores(
     chars = rows.agg(F.sum(F.char_length("_text").cast("long"))).first()[0] or 0
     blocks = max(1, ceil(chars / block_chars))
     parts = max(1, ceil(chars / 6 * order / part_words))
-    place = F.monotonically_increasing_id()
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("_id", "_text", place), F.lit(blocks)).cast("int"))
+    run = F.shiftright(F.monotonically_increasing_id(), 5)
+    placed = rows.withColumn("block", F.pmod(F.xxhash64(run), F.lit(blocks)).cast("int"))
+    fields = schema_of(placed, ["block"], sizes="array<int>", texts="binary")
+    fields.add("ids", T.ArrayType(rows.schema["_id"].dataType))
+    dealt = placed.mapInArrow(bundled, fields)
 
     def ask(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        block = _Block(group["_text"].to_pylist(), order)
+        block = _Block(unbundled(group)[1], order)
         orders, numbers, grams, counts = [], [], [], []
         for size in range(1, order + 1):
             starts = block.starts(size, parts)
@@ -148,8 +160,9 @@ def backoff_scores(
     )
     n_words = _count_words(rows)
 
-    def score(key: tuple[pa.Scalar, ...], texts: pa.Table, answered: pa.Table) -> pa.Table:
-        block = _Block(texts["_text"].to_pylist(), order)
+    def score(key: tuple[pa.Scalar, ...], bundles: pa.Table, answered: pa.Table) -> pa.Table:
+        ids, texts = unbundled(bundles)
+        block = _Block(texts, order)
         found = [counts.astype(np.int64) for counts in block.counts]
         starts = [block.starts(size, parts) for size in range(1, order + 1)]
         for size, part, data in zip(*(answered[c].to_pylist() for c in ("size", "part", "elsewhere"))):
@@ -182,7 +195,7 @@ def backoff_scores(
             mean = sums / block.sizes
         return pa.table(
             {
-                id_column: texts["_id"],
+                id_column: ids,
                 "n_words": pa.array(block.sizes),
                 "log_score": pa.array(sums),
                 "log_per_word": pa.array(mean, mask=block.sizes == 0),

@@ -1,10 +1,13 @@
-"""Sorted hashes and small counts as bytes, for what goes through a shuffle."""
+"""Sorted hashes, small counts and texts as bytes, for what goes through a shuffle."""
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -41,14 +44,52 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def pack_counts(values: np.ndarray) -> bytes:
-    """Numbers that are small mostly: a byte each, or 255 and 8 bytes at the end."""
+    """Numbers that are small mostly: a byte each, or 255 and 8 bytes at the end. Most are
+    the same, so the bytes are compressed."""
     high, more = _escaped(values.astype(np.uint64))
-    return np.array([len(values)], dtype="<u4").tobytes() + high + more
+    high = zlib.compress(high, 1)
+    return np.array([len(high)], dtype="<u4").tobytes() + high + more
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    n = int(np.frombuffer(data, "<u4", 1)[0])
-    return _plain(data[4 : 4 + n], data[4 + n :]).astype(np.int64)
+    end = 4 + int(np.frombuffer(data, "<u4", 1)[0])
+    return _plain(zlib.decompress(data[4:end]), data[end:]).astype(np.int64)
+
+
+def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``block, sizes, texts, ids`` of rows ``_id, _text, block``: those rows of a batch that
+    go to the same block as one, with their texts in one compressed piece and the numbers of
+    bytes that each has of it."""
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        firsts = np.flatnonzero(np.diff(blocks[order], prepend=-1))
+        ends = pa.array(np.append(firsts, len(order)), pa.int32())
+        texts = batch.column("_text").cast(pa.binary()).take(pa.array(order))
+        sizes = pc.binary_length(texts)
+        pieces = [
+            pa.compress(b"".join(texts.slice(first, end - first).to_pylist()), "zstd", asbytes=True)
+            for first, end in zip(firsts.tolist(), ends.to_pylist()[1:])
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(blocks[order][firsts], pa.int32()),
+                pa.ListArray.from_arrays(ends, sizes),
+                pa.array(pieces, pa.binary()),
+                pa.ListArray.from_arrays(ends, batch.column("_id").take(pa.array(order))),
+            ],
+            names=["block", "sizes", "texts", "ids"],
+        )
+
+
+def unbundled(rows: pa.Table) -> tuple[pa.ChunkedArray, list[str]]:
+    """The ids and the texts of some rows of :func:`bundled`."""
+    texts = []
+    for sizes, piece in zip(rows["sizes"].to_pylist(), rows["texts"].to_pylist()):
+        whole = pa.decompress(piece, sum(sizes), "zstd", asbytes=True) if sum(sizes) else b""
+        ends = np.cumsum(sizes).tolist()
+        texts += [whole[begin:end].decode() for begin, end in zip([0, *ends], ends)]
+    return pc.list_flatten(rows["ids"]), texts
 
 
 def _escaped(values: np.ndarray) -> tuple[bytes, bytes]:
