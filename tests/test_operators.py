@@ -364,3 +364,19 @@ def test_ranked_lists(spark, sample, sample_pairs):
     terms = registered()["top100_terms"](spark, sample).collect()
     assert [(-r.df, r.term) for r in terms] == sorted((-r.df, r.term) for r in terms)
     assert all(len(r.term) > 2 for r in terms)
+
+
+def test_a_table_of_stop_words_takes_no_shuffle_of_tokens(spark):
+    rows = [(1, "cats cat the the"), (1, "cat dogs"), (None, "cat"), (None, "the dog dog"), (2, "the"), (3, None)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string")
+    stop = spark.createDataFrame([("the",), (None,)], "word string")
+    vocabulary = spark.createDataFrame([("cat",), ("dog",), ("the",)], "term string")
+    df = O.document_frequency(corpus, stop)
+    assert {tuple(r) for r in df.collect()} == {("cat", 2), ("dog", 2)}
+    # One makes the terms of a document distinct, one counts them.
+    assert df._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") <= 4
+    tf = {tuple(r) for r in O.term_frequency(corpus, vocabulary, stop).collect()}
+    assert tf == {(1, "cat", 3), (1, "dog", 1), (None, "cat", 1), (None, "dog", 2)}
+    dense = {tuple(r) for r in O.term_frequency_dense(corpus, vocabulary, stop).collect()}
+    ids = (1, None, 2, 3)
+    assert dense == {(i, t, n) for i in ids for t in ("cat", "dog", "the") for n in [dict(((a, b), c) for a, b, c in tf).get((i, t), 0)]}

@@ -44,11 +44,18 @@ def _row_counts(
     return corpus.select("doc_id", counts(tokens).alias("found"))
 
 
-def _joined_counts(corpus: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """``doc_id, term, tf`` without the words of a table: one row per token and document,
-    so a term has as many as it has tokens. The table meets counted tokens."""
-    tokens = corpus.select("doc_id", F.explode(letter_tokens("text")).alias("token"))
-    counted = tokens.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+def _joined_counts(corpus: DataFrame, stop_words: DataFrame, distinct: bool = False) -> DataFrame:
+    """``doc_id, term, tf`` without the words of a table: one row per distinct token of a
+    row of the corpus, so a term has as many as it has tokens and, where ids repeat, rows.
+    The table meets tokens counted in their row, which takes no shuffle; all callers add
+    up or make distinct what a document has of a term. With ``distinct`` every count is 1."""
+    tokens = letter_tokens("text")
+    if distinct:
+        token = F.explode(F.array_distinct(tokens)).alias("token")
+        counted = corpus.select("doc_id", token, F.lit(1).cast("bigint").alias("tf"))
+    else:
+        found = corpus.select("doc_id", token_counts(tokens).alias("found"))
+        counted = found.select("doc_id", F.inline("found").alias("token", "tf"))
     kept = remove_stop_words(counted, stop_words, "token", spread=F.col("doc_id"))
     return kept.select("doc_id", stem_token("token").alias("term"), "tf")
 
@@ -60,7 +67,7 @@ def _counts(
     vocabulary: Listed | None = None,
 ) -> DataFrame:
     if isinstance(stop_words, DataFrame):
-        rows = _joined_counts(corpus, stop_words)
+        rows = _joined_counts(corpus, stop_words, distinct)
         return rows.join(F.broadcast(vocabulary.terms), "term", "left_semi") if vocabulary else rows
     rows = _row_counts(corpus, stop_words or (), distinct, vocabulary)
     return rows.select("doc_id", F.inline("found"))
@@ -74,8 +81,8 @@ def document_frequency(
     In general the (document, term) pairs are made distinct by a shuffle.
     ``assume_unique_ids`` says that no id is on two rows, which is not checked; then, with
     a stop list that is a sequence, the terms of a row are distinct already and only
-    partial counts per term are shuffled. With a table of stop words tokens are counted
-    per document and one shuffle more makes their stems distinct, whatever the ids.
+    partial counts per term are shuffled. With a table of stop words one shuffle makes the
+    stems of a document distinct, whatever the ids.
     """
     terms = _counts(corpus, stop_words, distinct=True).select("doc_id", "term")
     if isinstance(stop_words, DataFrame) or not assume_unique_ids:
