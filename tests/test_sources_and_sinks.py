@@ -120,3 +120,41 @@ def test_order_within_files(spark, tmp_path):
     parts = [p.read_text().split() for p in (tmp_path / "out").glob("part-*")]
     keys = [part[::2] for part in parts]
     assert all(k == sorted(k) for k in keys) and sorted(sum(keys, [])) == sorted(r.k for r in rows.collect())
+
+
+def test_a_large_file_is_numbered_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from wordloom.sinks import read_numbered_lines
+
+    (tmp_path / "out").mkdir()
+    texts = {0: "".join(f"{n}\r\n\n" for n in range(300)), 1: "", 2: "x\n" + "y" * 700 + "\nz"}
+    for number, text in texts.items():
+        (tmp_path / "out" / f"part-0000{number}-a.txt").write_text(text, newline="")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        lines = read_numbered_lines(spark, str(tmp_path / "out"))
+        found = lines.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    wanted = [(0, i, f"{i // 2}\r" if i % 2 == 0 else "") for i in range(600)]
+    wanted += [(2, 0, "x"), (2, 1, "y" * 700), (2, 2, "z")]
+    assert sorted(tuple(r)[:3] for r in found) == wanted
+    assert len({r["task"] for r in found if r["file_number"] == 0}) > 1
+
+
+def test_documents_of_one_split_are_written_by_several_tasks(spark, tmp_path):
+    from wordloom.sinks import write_documents
+
+    path = str(tmp_path / "out")
+    documents = spark.range(0, 40, 1, 1).selectExpr("id as doc_id", "concat('text ', id) as text")
+    write_documents(documents, path)
+    names = [p.name for p in (tmp_path / "out").glob("part-*")]
+    assert len(names) == 40
+    assert len({name.split("-")[1] for name in names}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted(f"text {n}" for n in range(40))
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        write_documents(documents, path)
+    write_documents(documents.limit(3), path, overwrite=True)
+    assert spark.read.text(path).count() == 3

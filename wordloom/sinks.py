@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wordloom.functions.rendering import stripe_text
 from wordloom.ordering import range_bounds, range_of
@@ -71,23 +72,41 @@ def in_ranges(rows: DataFrame, order_by: Sequence[str], files: int | None = None
 def write_documents(documents: DataFrame, path: str, overwrite: bool = False) -> None:
     """Write every text as a text file of its own, the way a corpus of files comes.
 
-    A task writes a new file for every row; the names differ and carry no ids. Fails on an
-    existing path unless told to overwrite.
+    A task writes a new file for every row; the names differ and carry no ids. Files cost
+    more than bytes, so rows are dealt evenly over ``spark.sql.shuffle.partitions`` tasks
+    however few splits they come in, and tasks, not the driver, move their files into place:
+    a job that fails can leave some there, without ``_SUCCESS``. Fails on an existing path
+    unless told to overwrite.
     """
     mode = "overwrite" if overwrite else "errorifexists"
-    documents.select(F.col("text").alias("value")).write.mode(mode).option(
-        "maxRecordsPerFile", 1
-    ).text(path)
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = documents.select(F.col("text").alias("value")).repartition(tasks).write.mode(mode)
+    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file_number, line_number, value`` of what :func:`write_tsv` has written: the
     number that the name of a part file has, and that of the line in it, from 0.
 
-    A file is read whole by one task, so it is for files of bounded size.
+    Files may have any size. They are read line by line, a large one by several tasks. The
+    lines are stored with running numbers; a table of the splits, a row each, says how many
+    lines of a file come before each of them.
     """
     number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)", 1).cast("int")
-    files = spark.read.text(path, wholetext=True).select(number.alias("file_number"), "value")
-    body = F.regexp_replace("value", r"\n\z", "")
-    lines = F.posexplode(F.split(body, "\n")).alias("line_number", "value")
-    return files.filter("value <> ''").select("file_number", lines)
+    lines = spark.read.text(path, lineSep="\n").select(
+        number.alias("file_number"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+    )
+    lines = stored(lines)
+    count = F.count(F.lit(1)).alias("count")
+    splits = lines.groupBy("file", "split").agg(F.min("id").alias("first"), count)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("count").over(earlier), F.lit(0))
+    starts = splits.select("file", "split", (before - F.col("first")).alias("start"))
+    numbered = lines.join(F.broadcast(starts), ["file", "split"])
+    place = (F.col("start") + F.col("id")).cast("int").alias("line_number")
+    return numbered.select("file_number", place, "value")
