@@ -111,6 +111,25 @@ def test_components_equal_all_pairs(docs, size, percent):
     assert sort(map(tuple, found)) == sort(expected(rows, size, percent))
 
 
+def test_members_near_some_of_a_large_group_need_few_checks(docs, monkeypatch):
+    """In a group in which a member is linked with a part of the others only, and as many are
+    just below the threshold, checks grow with the members and not with their pairs."""
+    pick = random.Random(4)
+    base = [f"w{n}" for n in range(150)]
+    rows = [(i, family(pick, base, pick.choice([1, 2, 2, 3]))) for i in range(700)]
+    verified = []
+    keep = jaccard._verified
+
+    def counted(pairs, *rest):
+        verified.append(pairs.count())
+        return keep(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    found = jaccard_components(docs(*rows), 5, 80)
+    assert sort(map(tuple, found.collect())) == sort(expected(rows, 5, 80))
+    assert sum(verified) < 5 * len(rows)
+
+
 def test_odd_rows(docs):
     found = jaccard_components(docs(*ODD), 3, 90).collect()
     assert sort(map(tuple, found)) == sort(expected(ODD, 3, 90))

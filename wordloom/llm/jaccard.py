@@ -17,6 +17,7 @@ from wordloom.llm.shingles import mix64, shingle_hashes, word_hashes, words_of
 
 _WORDS = 8  # of 64 bits in a parity sketch
 _SKETCH = [f"s{k}" for k in range(_WORDS)]
+_DRAWN = 64  # nodes of an n-gram that are drawn together, on average
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
@@ -256,6 +257,95 @@ def _verified(
     return rows.mapInArrow(verify, "a long, b long")
 
 
+def _nearest_leaders(postings: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """``key, leader``: for a node the nearest of the three leaders with which it shares most
+    prefix n-grams, out of two drawn for each n-gram."""
+    rows = postings.select("gram", "key")
+    drawn = F.struct(F.xxhash64("key", F.lit(1)).alias("order"), "key")
+    leaders = rows.groupBy("gram").agg(F.min(drawn).alias("first"), F.max(drawn).alias("last"))
+    leaders = leaders.select("gram", F.array("first.key", "last.key").alias("leaders"))
+    offers = (
+        rows.join(leaders, "gram")
+        .select("key", F.explode("leaders").alias("leader"))
+        .filter("key <> leader")
+        .groupBy("key", "leader")
+        .agg(F.count(F.lit(1)).alias("common"))
+        # A node has no more leaders than twice the n-grams of its prefix.
+        .groupBy("key")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("common", "leader")), False), 1, 3).alias("best"))
+        .select("key", F.explode("best.leader").alias("leader"))
+    )
+    one, two = facts.alias("one"), facts.alias("two")
+    n, m = F.col("one.n"), F.col("two.n")
+    apart = _apart(lambda c: F.col(f"one.{c}"), lambda c: F.col(f"two.{c}"))
+    return (
+        offers.alias("offers")
+        .join(one, F.col("offers.key") == F.col("one.key"))
+        .join(
+            two,
+            (F.col("offers.leader") == F.col("two.key"))
+            & _long_enough(n, m, percent)
+            & _near_enough(n, m, apart, percent),
+        )
+        .groupBy(F.col("offers.key").alias("key"))
+        .agg(F.max_by("offers.leader", F.struct(-apart / (n + m), "offers.leader")).alias("leader"))
+    )
+
+
+def _between(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """The postings of n-grams that more than one component has, with their ``component``
+    and the number of postings of their n-gram, ``held``."""
+    rows = postings.join(known, "key", "left").withColumn(
+        "component", F.coalesce("component", "key")
+    )
+    open_ = (
+        rows.groupBy("gram")
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("greatest"),
+            F.count(F.lit(1)).alias("held"),
+        )
+        .filter("least <> greatest")
+        .select("gram", "held")
+    )
+    return rows.join(open_, "gram")
+
+
+def _meetings(rows: DataFrame, facts: DataFrame, percent: int, on: list[str]) -> DataFrame:
+    """``a, b, apart`` for rows of different components that are equal in ``on`` and pass the
+    length, positional and suffix filters; ``apart`` is a part of the sizes of both."""
+    rows = rows.join(facts.drop("n"), "key")
+    one, two = rows.alias("one"), rows.alias("two")
+    n, m = F.col("one.n"), F.col("two.n")
+    i, j = F.col("one.place"), F.col("two.place")
+    apart = _apart(lambda c: F.col(f"one.{c}"), lambda c: F.col(f"two.{c}"))
+    ahead = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    return one.join(
+        two,
+        reduce(Column.__and__, (F.col(f"one.{c}") == F.col(f"two.{c}") for c in on))
+        & (F.col("one.key") < F.col("two.key"))
+        & (F.col("one.component") != F.col("two.component"))
+        & _long_enough(n, m, percent)
+        & _overlap(n, m, ahead, percent)
+        & _near_enough(n, m, apart, percent),
+    ).select(
+        F.col("one.key").alias("a"), F.col("two.key").alias("b"), (apart / (n + m)).alias("apart")
+    )
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """``key, leader``: for every node of ``pairs`` the one it is least apart from."""
+    sides = F.array(
+        F.struct(F.col("a").alias("key"), F.col("b").alias("leader")),
+        F.struct(F.col("b").alias("key"), F.col("a").alias("leader")),
+    )
+    return (
+        pairs.select("apart", F.inline(sides))
+        .groupBy("key")
+        .agg(F.max_by("leader", F.struct(-F.col("apart"), "leader")).alias("leader"))
+    )
+
+
 def _small(batches, rows: int = 200):
     """Arrow batches cut into ones of few rows, as texts are large once in Python."""
     for batch in batches:
@@ -279,12 +369,15 @@ def jaccard_components(
     of their own. Other columns are not read.
 
     Linked sets share one of their rarest n-grams, so candidates meet on those. Equal sets
-    are one node from the start. Then, twice, every node is checked against the nearest of
-    three nodes with which it shares most prefix n-grams, out of two drawn for each n-gram;
-    that joins most of a group of near copies with as many checks as it has members. At last all
-    pairs that share a prefix n-gram, pass the length, positional and suffix filters and
-    are not in one component yet are checked. So no link between components is lost, and
-    a group's pairs are neither listed nor checked once the group is known.
+    are one node from the start. Then every node is checked against the nearest of three
+    nodes with which it shares most prefix n-grams, out of two drawn for each n-gram; that
+    joins most of a group of near copies with as many checks as it has members. Next, the
+    nodes of an n-gram are dealt into shares of some 64, and every node is checked against
+    the nearest one of another component that it meets in a share; that finds those members
+    that are near some of a group only. At last all pairs that share a prefix n-gram, pass
+    the length, positional and suffix filters and are not in one component yet are checked.
+    So no link between components is lost, and a group's pairs are neither listed nor
+    checked once the group is known.
     """
     documents = documents.select(
         F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
@@ -309,51 +402,15 @@ def jaccard_components(
     )
     postings = stored(postings.join(meeting, "gram").dropDuplicates(["gram", "key"]))
 
-    # One check for every node, twice, out of other leaders.
+    # One check for every node, twice.
     links, checked, known = None, None, None
-    for turn in (1, 2):
-        rows = postings.select("gram", "key")
-        rows = (
-            rows.withColumn("component", F.col("key"))
-            if known is None
-            else rows.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        )
-        drawn = F.struct(F.xxhash64("key", F.lit(turn)).alias("order"), "key", "component")
-        leaders = rows.groupBy("gram").agg(
-            F.min(drawn).alias("first"),
-            F.max(drawn).alias("last"),
-            F.min("component").alias("least"),
-            F.max("component").alias("greatest"),
-        )
-        leaders = leaders.filter("least <> greatest").select(
-            "gram", F.array("first", "last").alias("leaders")
-        )
-        offers = (
-            rows.join(leaders, "gram")
-            .select("key", "component", F.explode("leaders").alias("leader"))
-            .filter("component <> leader.component")
-            .groupBy("key", F.col("leader.key").alias("leader"))
-            .agg(F.count(F.lit(1)).alias("common"))
-            # A node has no more leaders than twice the n-grams of its prefix.
-            .groupBy("key")
-            .agg(F.slice(F.sort_array(F.collect_list(F.struct("common", "leader")), False), 1, 3).alias("best"))
-            .select("key", F.explode("best.leader").alias("leader"))
-        )
-        one, two = facts.alias("one"), facts.alias("two")
-        n, m = F.col("one.n"), F.col("two.n")
-        apart = _apart(lambda c: F.col(f"one.{c}"), lambda c: F.col(f"two.{c}"))
-        chosen = (
-            offers.alias("offers")
-            .join(one, F.col("offers.key") == F.col("one.key"))
-            .join(
-                two,
-                (F.col("offers.leader") == F.col("two.key"))
-                & _long_enough(n, m, percent)
-                & _near_enough(n, m, apart, percent),
-            )
-            .groupBy(F.col("offers.key").alias("key"))
-            .agg(F.max_by("offers.leader", F.struct(-apart / (n + m), "offers.leader")).alias("leader"))
-        )
+    for _ in range(2):
+        if known is None:
+            chosen = _nearest_leaders(postings, facts, percent)
+        else:
+            share = F.pmod(F.xxhash64("gram", "key"), F.ceil(F.col("held") / _DRAWN))
+            rows = _between(postings, known).withColumn("share", share)
+            chosen = _nearest(_meetings(rows, facts, percent, ["gram", "share"]))
         stars = chosen.select(
             F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")
         ).distinct()
@@ -365,28 +422,7 @@ def jaccard_components(
         known = stored(components(links)).withColumnRenamed("node", "key")
 
     # All that is left between components.
-    rows = postings.join(known, "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    open_ = (
-        rows.groupBy("gram")
-        .agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
-        .filter("least <> greatest")
-        .select("gram")
-    )
-    rows = rows.join(open_, "gram").join(facts.drop("n"), "key")
-    one, two = rows.alias("one"), rows.alias("two")
-    i, j = F.col("one.place"), F.col("two.place")
-    ahead = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    pairs = one.join(
-        two,
-        (F.col("one.gram") == F.col("two.gram"))
-        & (F.col("one.key") < F.col("two.key"))
-        & (F.col("one.component") != F.col("two.component"))
-        & _long_enough(n, m, percent)
-        & _overlap(n, m, ahead, percent)
-        & _near_enough(n, m, apart, percent),
-    ).select(F.col("one.key").alias("a"), F.col("two.key").alias("b"))
+    pairs = _meetings(_between(postings, known), facts, percent, ["gram"]).select("a", "b")
     pairs = pairs.distinct().join(checked, ["a", "b"], "left_anti")
     pairs = stored(_plausible(pairs, long_sets, percent))
     links = links.unionByName(_verified(pairs, nodes, documents, size, percent))
