@@ -158,3 +158,78 @@ def test_documents_of_one_split_are_written_by_several_tasks(spark, tmp_path):
         write_documents(documents, path)
     write_documents(documents.limit(3), path, overwrite=True)
     assert spark.read.text(path).count() == 3
+
+
+def test_documents_on_a_local_disk_start_no_process_and_keep_their_checksums(spark, tmp_path):
+    """With the former writer, Hadoop took two processes to set the modes of a file."""
+    from pyspark.sql import functions as F
+
+    from wordloom.sinks import write_documents
+
+    path = tmp_path / "a b%20"
+    texts = ["x" * 512, "", None, "ä\nb\r\n", "y" * 2000, "\n"]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    write_documents(rows, str(path))
+    parts = sorted(path.glob("part-*"))
+    assert sorted(p.read_bytes() for p in parts) == sorted(((t or "") + "\n").encode() for t in texts)
+    assert sorted(p.name for p in path.iterdir() if p not in parts) == sorted(
+        ["_SUCCESS", "._SUCCESS.crc", *(f".{p.name}.crc" for p in parts)]
+    )
+    assert {p.stat().st_mode & 0o777 for p in path.iterdir()} == {0o644}
+    read = spark.read.text(str(path), wholetext=True)
+    assert sorted(r.value for r in read.collect()) == sorted((t or "") + "\n" for t in texts)
+    largest = max(parts, key=lambda p: p.stat().st_size)
+    largest.write_bytes(b"z" + largest.read_bytes()[1:])
+    with pytest.raises(Exception, match="(?i)checksum"):
+        read.collect()
+
+    begun = int(open("/proc/stat").read().split("processes ")[1].split()[0])
+    many = spark.range(0, 3000, 1, 1).select("id", F.lit("text").alias("text"))
+    write_documents(many, str(path), overwrite=True)
+    begun = int(open("/proc/stat").read().split("processes ")[1].split()[0]) - begun
+    assert len(list(path.glob("part-*"))) == 3000
+    assert begun < 3000  # processes and threads of the whole machine; 6000 before
+
+
+def test_no_documents_leave_a_folder_that_can_be_read(spark, tmp_path):
+    from wordloom.sinks import write_documents
+
+    rows = spark.range(5).selectExpr("id as doc_id", "'x' as text")
+    write_documents(rows, str(tmp_path / "out"))
+    write_documents(rows.filter("doc_id > 9"), str(tmp_path / "out"), overwrite=True)
+    assert S.documents_from_files(spark, str(tmp_path / "out")).collect() == []
+    assert [p.stat().st_size for p in (tmp_path / "out").glob("part-*")] == [0]
+
+
+def test_whole_files_have_the_lines_of_a_line_reader(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from pyspark.sql import functions as F
+
+    from wordloom.sources import corpora
+
+    mark = b"\xef\xbb\xbf"
+    texts = [
+        b"", b"\n", b"a", b"a\n", b"a\n\n", b"\r\r\n\n\r", b"a\r\nb\rc\nd", b"\ra\r", mark, mark + b"\n",
+        mark + b"a\n" + mark, b"\xff\xfe\n\xe4b\r\nc\n", mark + b"\xff\r", "ä\u0085b\u2028c\x0bd\n".encode(),
+    ]
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n:02d}.txt").write_bytes(text)
+    (tmp_path / "14.gz").write_bytes(gzip.compress(b"packed\nlines"))
+    (tmp_path / "15.txt").write_bytes(b"large\n" * 50)
+    (tmp_path / "16").write_bytes(b"no ending")
+    name = F.substring(F.col("_metadata.file_name"), 1, 2).alias("name")
+    wanted = values(spark.read.text(str(tmp_path)).select(name, F.col("value").cast("binary")))
+    for whole in (1 << 20, 100, -1):
+        monkeypatch.setattr(corpora, "WHOLE", whole)
+        found = S.documents_from_files(spark, str(tmp_path)).select("doc_id", F.col("text").cast("binary"))
+        assert values(found) == wanted
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path):
+    """Each file counts as 4 MB where Spark deals them out; 400 made 13 tasks before."""
+    for n in range(400):
+        (tmp_path / f"{n}.txt").write_text(f"line\n{n}\n")
+    documents = S.documents_from_files(spark, str(tmp_path))
+    assert documents.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert documents.count() == 800

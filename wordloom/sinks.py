@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from wordloom.functions.rendering import stripe_text
 from wordloom.ordering import range_bounds, range_of
 from wordloom.storage import stored
+from wordloom.textfiles import write_values
 
 
 def _field(field: T.StructField) -> Column:
@@ -75,14 +76,17 @@ def write_documents(documents: DataFrame, path: str, overwrite: bool = False) ->
     A task writes a new file for every row; the names differ and carry no ids. Files cost
     more than bytes, so rows are dealt evenly over ``spark.sql.shuffle.partitions`` tasks
     however few splits they come in, and tasks, not the driver, move their files into place:
-    a job that fails can leave some there, without ``_SUCCESS``. Fails on an existing path
-    unless told to overwrite.
+    a job that fails can leave some there, without ``_SUCCESS``. On a local disk they are
+    written past Hadoop, see :mod:`wordloom.textfiles`. Fails on an existing path unless
+    told to overwrite.
     """
     mode = "overwrite" if overwrite else "errorifexists"
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    writer = documents.select(F.col("text").alias("value")).repartition(tasks).write.mode(mode)
-    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.option("maxRecordsPerFile", 1).text(path)
+    rows = documents.select(F.col("text").alias("value")).repartition(tasks)
+    if not write_values(rows, path, mode):
+        writer = rows.write.mode(mode)
+        writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:

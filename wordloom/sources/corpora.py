@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.tokens import document_id, lines_of
@@ -13,17 +13,57 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+#: Bytes of a text file that is read whole. A line reader copies Hadoop's settings for every
+#: file, one after the other in a process: more than such a file takes to read.
+WHOLE = 1 << 20
+
+
 def documents_from_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``doc_id, text``: one row per line, the id taken from the name of the file.
 
     Files of the same base name in different folders are one document. Large files are
-    split among tasks, so a row is a line and not a file.
+    split among tasks, so a row is a line and not a file. Small ``.txt`` files, which no
+    codec claims, are read whole, many by a task: ``spark.sql.shuffle.partitions`` tasks in
+    all, or two for as many bytes as a partition of files has.
     """
     # File names arrive percent-encoded, except for the plus sign.
     encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
-    return spark.read.text(path).select(
-        document_id(F.url_decode(encoded)).alias("doc_id"), F.col("value").alias("text")
+    doc_id = document_id(F.url_decode(encoded)).alias("doc_id")
+    whole = (F.col("_metadata.file_size") <= WHOLE) & F.endswith(
+        F.col("_metadata.file_name"), F.lit(".txt")
     )
+    files = spark.read.format("binaryFile").load(path)
+    conf = spark._jsparkSession.sessionState().conf()
+    size = int(files._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = max(conf.numShufflePartitions(), 2 * size // conf.filesMaxPartitionBytes())
+    small = files.filter(whole).select(doc_id, _without_mark(F.col("content")).alias("content"))
+    lines = _file_lines(small.coalesce(tasks))
+    # Decided by the list of files, none of which is opened.
+    if files.filter(~whole).isEmpty():
+        return lines
+    others = spark.read.text(path).filter(~whole)
+    return others.select(doc_id, F.col("value").alias("text")).unionByName(lines)
+
+
+def _without_mark(content: Column) -> Column:
+    """A byte order mark, which a line reader leaves out, is cut off."""
+    marked = F.substring(content, 1, 3) == F.lit(b"\xef\xbb\xbf")
+    return F.when(marked, F.substring(content, 4, WHOLE)).otherwise(content)
+
+
+def _file_lines(files: DataFrame) -> DataFrame:
+    """``doc_id, text``: what a line reader makes of whole files (``doc_id, content``); bytes
+    that are no UTF-8 stay as they are."""
+    text = F.col("content").cast("string")
+    body = F.when(text.endswith("\n"), F.substring(text, F.lit(1), F.length(text) - 1))
+    plain = F.split(F.coalesce(body, text), "\n")  # a single character, so no expression
+    valid = F.is_valid_utf8(text)
+    lines = F.when(valid & ~text.contains("\r"), plain).when(valid, lines_of(text))
+    lines = lines.otherwise(lines_of(F.decode("content", "ISO-8859-1")))
+    files = files.filter(F.octet_length("content") > 0)
+    rows = files.select("doc_id", valid.alias("valid"), F.explode(lines).alias("text"))
+    raw = F.encode("text", "ISO-8859-1").cast("string")
+    return rows.select("doc_id", F.when(F.col("valid"), F.col("text")).otherwise(raw).alias("text"))
 
 
 def keyed_documents(lines: DataFrame) -> DataFrame:
