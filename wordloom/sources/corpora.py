@@ -57,11 +57,11 @@ def _file_lines(files: DataFrame) -> DataFrame:
     text = F.col("content").cast("string")
     body = F.when(text.endswith("\n"), F.substring(text, F.lit(1), F.length(text) - 1))
     plain = F.split(F.coalesce(body, text), "\n")  # a single character, so no expression
-    valid = F.is_valid_utf8(text)
-    lines = F.when(valid & ~text.contains("\r"), plain).when(valid, lines_of(text))
-    lines = lines.otherwise(lines_of(F.decode("content", "ISO-8859-1")))
     files = files.filter(F.octet_length("content") > 0)
-    rows = files.select("doc_id", valid.alias("valid"), F.explode(lines).alias("text"))
+    files = files.withColumn("valid", F.is_valid_utf8(text))
+    lines = F.when(F.col("valid") & ~text.contains("\r"), plain).when(F.col("valid"), lines_of(text))
+    lines = lines.otherwise(lines_of(F.decode("content", "ISO-8859-1")))
+    rows = files.select("doc_id", "valid", F.explode(lines).alias("text"))
     raw = F.encode("text", "ISO-8859-1").cast("string")
     return rows.select("doc_id", F.when(F.col("valid"), F.col("text")).otherwise(raw).alias("text"))
 
